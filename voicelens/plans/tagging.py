@@ -57,9 +57,20 @@ def opinion_candidates(tokens: Column, cfg: TagConfig) -> Column:
     return F.slice(F.array_distinct(words), 1, cfg.max_opinions)
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Keep the optimizer from inlining computed arrays into later lambdas.
+
+    Catalyst's CollapseProject inlines a column that is referenced once into
+    its consumer, also when that reference sits inside a lambda, where it would
+    be re-evaluated per array element.  A one-element ``explode`` is a Generate
+    node, which projections are not collapsed across; it costs one row copy.
+    """
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_r")).select("_r.*")
+
+
 def label_clauses(df: DataFrame, cfg: TagConfig, text_col: str = "evaluated_text") -> DataFrame:
     """Adds ``comment`` (the clause list) and ``_items``: labelled clause structs."""
-    df = df.withColumn("comment", clause_cascade(F.col(text_col), F.col("irr_f"), cfg))
+    df = stage(df.withColumn("comment", clause_cascade(F.col(text_col), F.col("irr_f"), cfg)))
     irr = F.col("irr_f")
 
     def item(s, i):
@@ -85,7 +96,7 @@ def label_clauses(df: DataFrame, cfg: TagConfig, text_col: str = "evaluated_text
                         opinion_candidates(x["toks"], cfg).alias("hed"))
 
     df = df.withColumn("_items", F.transform("_items", labelled))
-    df = df.withColumn("_items", F.filter("_items", lambda x: F.size(x["codes"]) > 0))
+    df = stage(df.withColumn("_items", F.filter("_items", lambda x: F.size(x["codes"]) > 0)))
     # CLS-4: clause number = first position of an equal clause, only for labelled clauses.
     return df.withColumn("_items", F.transform("_items", lambda x: x.withField(
         "chilid", F.array_position(F.col("comment"), x["view"]).cast("int"))))
@@ -120,7 +131,7 @@ TAGGED_ATTRS = ["fnum", "irr_f", "user_cabin", "dep_code", "arr_code", "fdate",
 
 def tag_reviews(clean: DataFrame, cfg: TagConfig, keep_comment: bool = True, extra_cols=("emo",)) -> DataFrame:
     """PIP-3: cleaned reviews → tagged clause rows (PRJ-1 contract order)."""
-    df = label_clauses(clean, cfg)
+    df = stage(label_clauses(clean, cfg))
     df = df.withColumn("_merged", merge_same_label(F.col("_items")))
     extras = [c for c in extra_cols if c in clean.columns]
     keep = ["id"] + (["comment"] if keep_comment else []) + [c for c in TAGGED_ATTRS if c in clean.columns] + extras

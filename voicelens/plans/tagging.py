@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as LX
 from ..functions import patterns as P
 from ..functions.clauses import split_clauses, split_subclauses
+from ..functions.stage import stage
 from ..functions.text import _array_lit, collapse_repeats, keep_letters, not_in, recompose, tokenize
 from ..operators.aspects import (AspectLookup, codes_of, count_codes, is_multi_aspect, onehot_aspects,
                                  routed_codes, target_object_of)
@@ -57,17 +58,6 @@ def opinion_candidates(tokens: Column, cfg: TagConfig) -> Column:
     return F.slice(F.array_distinct(words), 1, cfg.max_opinions)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Keep the optimizer from inlining computed arrays into later lambdas.
-
-    Catalyst's CollapseProject inlines a column that is referenced once into
-    its consumer, also when that reference sits inside a lambda, where it would
-    be re-evaluated per array element.  A one-element ``explode`` is a Generate
-    node, which projections are not collapsed across; it costs one row copy.
-    """
-    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_r")).select("_r.*")
-
-
 def label_clauses(df: DataFrame, cfg: TagConfig, text_col: str = "evaluated_text") -> DataFrame:
     """Adds ``comment`` (the clause list) and ``_items``: labelled clause structs."""
     df = stage(df.withColumn("comment", clause_cascade(F.col(text_col), F.col("irr_f"), cfg)))

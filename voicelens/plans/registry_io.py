@@ -263,3 +263,34 @@ def q_tfidf_keywords(spark, sf):
 @register("kmeans_clusters")
 def q_kmeans_clusters(spark, sf):
     return VE.kmeans_clusters(docs(spark, sf), k=100, seed=1)
+
+
+# --- SUM-1 / WIN-5 / PIP-1 -----------------------------------------------------------------
+
+from ..operators import summary as SM  # noqa: E402
+
+
+@register("extractive_summary")
+def q_extractive_summary(spark, sf):
+    return SM.extractive_summary(docs(spark, sf), size=10)
+
+
+@register("topk_units")
+def q_topk_units(spark, sf):
+    u = SM.units_of(docs(spark, sf)).filter(F.size("units") > 10)
+    long_ = u.select("doc_id", F.col("text").rlike(P.HAN_CLASS).alias("has_han"), F.posexplode("units").alias("u", "unit"))
+    scored = long_.groupBy("doc_id").applyInPandas(SM._rank_group, "doc_id long, u int, score double")
+    return SM.topk_units(scored, 10).select("doc_id", "u", "rank")
+
+
+@register("clean_and_summarize")
+def q_clean_and_summarize(spark, sf):
+    """PIP-1: blank filter → strip → word set / word line → summary → word line of the summary."""
+    from ..plans.ingest import drop_blank_text
+    d = drop_blank_text(A.reviews_v(spark, sf)).select(F.col("id").alias("doc_id"),
+                                                       T.strip_crlf("evaluated_text", "").alias("text"))
+    s = SM.extractive_summary(d, size=10)
+    out = d.join(s, "doc_id")
+    return out.select("doc_id", F.array_join(T.word_set("text", FX.STOPWORDS), " ").alias("words"),
+                      T.word_line("text", FX.STOPWORDS).alias("comment"),
+                      T.word_line("summary", FX.STOPWORDS).alias("abstract"))

@@ -294,3 +294,47 @@ def q_clean_and_summarize(spark, sf):
     return out.select("doc_id", F.array_join(T.word_set("text", FX.STOPWORDS), " ").alias("words"),
                       T.word_line("text", FX.STOPWORDS).alias("comment"),
                       T.word_line("summary", FX.STOPWORDS).alias("abstract"))
+
+
+# --- OPN-2..5 on annotated tokens ---------------------------------------------------------
+
+def _opn_base(spark, sf):
+    return OP.prepare(A.tokens_v(spark, sf))
+
+
+@register("aspect_opinion")
+def q_aspect_opinion(spark, sf):
+    lk = lookup(spark)
+    m = lk.m_all()
+    df = _opn_base(spark, sf)
+    per = F.filter(F.transform("_tok", lambda x: F.named_struct(
+        F.lit("i"), x["i"], F.lit("word"), x["word"], F.lit("code"), F.try_element_at(m, x["word"]),
+        F.lit("ops"), OP.aspect_opinion(x["i"], x["word"]))), lambda s: s["code"].isNotNull())
+    e = df.select("clause_id", F.explode(per).alias("a"))
+    return e.select("clause_id", F.col("a.i").alias("i"), F.col("a.word").alias("word"),
+                    F.col("a.code").alias("code"), F.array_join("a.ops", "|").alias("opinions"))
+
+
+@register("refine_opinion")
+def q_refine_opinion(spark, sf):
+    df = _opn_base(spark, sf)
+    per = F.transform("_tok", lambda x: F.named_struct(
+        F.lit("i"), x["i"], F.lit("word"), x["word"],
+        F.lit("ops"), OP.refine_opinion(x["word"], FX.NEGATIONS, FX.KEYWORD_SCRIPT)))
+    e = df.select("clause_id", F.explode(per).alias("a"))
+    return e.select("clause_id", F.col("a.i").alias("i"), F.col("a.word").alias("word"),
+                    F.array_join("a.ops", "|").alias("refined"))
+
+
+@register("refine_predicate")
+def q_refine_predicate(spark, sf):
+    df = _opn_base(spark, sf)
+    return df.select("clause_id", F.array_join(OP.refine_predicate(FX.NEGATIONS, FX.KEYWORD_SCRIPT), "|").alias("opinions"))
+
+
+@register("clause_opinions")
+def q_clause_opinions(spark, sf):
+    lk = lookup(spark)
+    out = OP.clause_opinions(A.tokens_v(spark, sf), lk.m_all(), FX.NEGATIONS, FX.KEYWORD_SCRIPT)
+    return out.select("clause_id", F.array_join("codes", "、").alias("codes"),
+                      F.array_join("opinions", "、").alias("opinions"))

@@ -338,3 +338,11 @@ def q_clause_opinions(spark, sf):
     out = OP.clause_opinions(A.tokens_v(spark, sf), lk.m_all(), FX.NEGATIONS, FX.KEYWORD_SCRIPT)
     return out.select("clause_id", F.array_join("codes", "、").alias("codes"),
                       F.array_join("opinions", "、").alias("opinions"))
+
+
+# --- KEY-3 ---------------------------------------------------------------------------------
+
+@register("textrank_keywords")
+def q_textrank_keywords(spark, sf):
+    from ..operators.textrank import textrank_keywords
+    return textrank_keywords(docs(spark, sf), FX.STOPWORDS, span=5, steps=10, k=10)

@@ -21,6 +21,8 @@ from ..functions.text import not_in, tokenize
 
 def textrank_keywords(docs: DataFrame, stopwords, span: int = 5, damping: float = 0.85, steps: int = 10,
                       k: int = 10, checkpoint_every: int = 5, text_col: str = "text") -> DataFrame:
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(docs.sparkSession)  # the session's shared folder; a scratch one only when unset
     skip = not_in(stopwords)
     words = F.filter(tokenize(F.col(text_col)), lambda t: t.rlike(P.LETTER_TOKEN) & skip(t))
     base = stage(docs.select("doc_id", words.alias("w")))

@@ -346,3 +346,11 @@ def q_clause_opinions(spark, sf):
 def q_textrank_keywords(spark, sf):
     from ..operators.textrank import textrank_keywords
     return textrank_keywords(docs(spark, sf), FX.STOPWORDS, span=5, steps=10, k=10)
+
+
+# --- CLS-6 ---------------------------------------------------------------------------------
+
+@register("fluency_regroup")
+def q_fluency_regroup(spark, sf):
+    from ..operators.fluency import fluency_regroup
+    return fluency_regroup(docs(spark, sf), window=4)

@@ -114,6 +114,11 @@ def report_table(units: DataFrame, stopkeys=FX.STOPKEYS, script: str = FX.KEYWOR
     "keywords": {emo: [[keyword, n], ...]}}}}}`` — built by successive
     aggregations, each over data already reduced by the previous one.
     """
+    # the three measures read the same units: keep the slim unit rows once (memory, spilling to disk;
+    # a lost block is recomputed from lineage) instead of re-running the tagging per branch
+    from pyspark import StorageLevel
+    units = units.select(*REPORT_KEYS, "irr_f", "emo", "id", "chilid", "lable", "codes", "hed").persist(
+        StorageLevel.MEMORY_AND_DISK)
     com = comments_by_sentiment(units)
     kw = keyword_counts(units, stopkeys, script)
     kw_lists = (kw.groupBy(*REPORT_KEYS, "status", "code", "emo")

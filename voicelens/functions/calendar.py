@@ -85,8 +85,11 @@ def irregular_flag(dep_plan, dep_actual, arr_plan, arr_actual, arrival_gap: str
 
 
 def epoch_to_text(c) -> Column:
-    """DTE-4: epoch seconds → 'yyyy-MM-dd HH:mm:ss' (session time zone, UTC in tests)."""
-    return F.date_format(F.timestamp_seconds(_col(c).cast("long")), "yyyy-MM-dd HH:mm:ss")
+    """DTE-4: epoch seconds → UTC 'yyyy-MM-dd HH:mm:ss', whatever the session time zone."""
+    x = _col(c).cast("long")
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        days=F.floor(x / 86400).cast("int"), secs=(x - F.floor(x / 86400) * 86400).cast("decimal(18,6)"))
+    return F.date_format(utc, "yyyy-MM-dd HH:mm:ss")
 
 
 def due_periods(run_date) -> Column:

@@ -22,8 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _minutes_after(ts_seconds, minutes):
-    return F.date_format(F.timestamp_seconds(ts_seconds + minutes * 60), "yyyy-MM-dd HH:mm:ss")
+def _clock(day, minutes):
+    """'yyyy-MM-dd HH:mm:ss' for a DATE plus minutes after midnight (same day; no time zone involved)."""
+    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "),
+                    F.lpad((minutes / 60).cast("int").cast("string"), 2, "0"), F.lit(":"),
+                    F.lpad((minutes % 60).cast("int").cast("string"), 2, "0"), F.lit(":00"))
 
 
 def reviews_v(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +36,10 @@ def reviews_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = docs.join(labels, "doc_id", "left")
     doc_id = F.col("doc_id")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (doc_id % 60).cast("int"))
-    day_sec = F.unix_date(day).cast("long") * 86400
     dep_gap = F.when(doc_id % 11 == 0, F.lit(None)).otherwise((doc_id * 13) % 90 - 15)
     arr_gap = F.when(doc_id % 17 == 0, F.lit(None)).otherwise((doc_id * 29) % 120 - 60)
-    dep_plan = day_sec + 8 * 3600
-    arr_plan = day_sec + 10 * 3600
+    dep_plan = F.lit(8 * 60)
+    arr_plan = F.lit(10 * 60)
     return d.select(
         doc_id.alias("id"),
         F.concat(F.upper("lang"), (100 + doc_id % 50).cast("string")).alias("fnum"),
@@ -46,10 +48,10 @@ def reviews_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("evaluated_text"),
         F.col("source").alias("fdep_code"),
         F.concat(F.lit("src"), ((doc_id * 7) % 20).cast("string")).alias("farr_code"),
-        F.date_format(F.timestamp_seconds(dep_plan), "yyyy-MM-dd HH:mm:ss").alias("fdplan"),
-        F.date_format(F.timestamp_seconds(arr_plan), "yyyy-MM-dd HH:mm:ss").alias("faplan"),
-        F.when(dep_gap.isNull(), F.lit(None).cast("string")).otherwise(_minutes_after(dep_plan, dep_gap)).alias("fdactual"),
-        F.when(arr_gap.isNull(), F.lit(None).cast("string")).otherwise(_minutes_after(arr_plan, arr_gap)).alias("faactual"),
+        _clock(day, dep_plan).alias("fdplan"),
+        _clock(day, arr_plan).alias("faplan"),
+        F.when(dep_gap.isNull(), F.lit(None).cast("string")).otherwise(_clock(day, dep_plan + dep_gap)).alias("fdactual"),
+        F.when(arr_gap.isNull(), F.lit(None).cast("string")).otherwise(_clock(day, arr_plan + arr_gap)).alias("faactual"),
         F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1).cast("int").alias("emo"),
     )
 

@@ -132,6 +132,11 @@ def report_table(units: DataFrame, stopkeys=FX.STOPKEYS, script: str = FX.KEYWOR
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("emo", "n")))).alias("com_num"),
         F.map_from_entries(_by_key(F.collect_list(F.struct(
             "emo", F.coalesce("kw", F.array().cast("array<array<string>>")).alias("kw"))), "emo")).alias("keywords")))
+    # keyword lists for every sentiment class (0, 1, 2), [] where a class has none, as the original
+    kw_all = F.map_from_entries(F.transform(F.array(F.lit("0"), F.lit("1"), F.lit("2")), lambda e: F.struct(
+        e.alias("emo"), F.coalesce(F.try_element_at(F.col("keywords"), e),
+                                   F.array().cast("array<array<string>>")).alias("kw"))))
+    per_code = per_code.withColumn("keywords", kw_all)
     per_status = (per_code.groupBy(*REPORT_KEYS, "status").agg(
         F.map_from_entries(_by_key(F.collect_list(F.struct(
             "code", F.struct("com_num", "keywords"))), "code")).alias("codes")))

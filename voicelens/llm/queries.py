@@ -4,15 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .packing import pack_documents
+from .secrets import scan_secrets
 from .shared import table
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), max_tokens=2048)
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
+
+
 QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op4_secret_scan": op4_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLES: dict[str, str] = {}

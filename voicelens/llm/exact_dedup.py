@@ -173,7 +173,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     if differing.limit(1).count():
         # unequal texts under one fingerprint: each SHA-256 is a group of its own
         split = keys.join(differing.select(*by).distinct().withColumn("variant_of", F.lit(True)), by, "left")
-        keys = written(split.withColumn("variant", F.when("variant_of", F.col("text_sha256"))).drop("variant_of"), "text-keys")
+        keys = written(split.withColumn("variant", F.when(F.col("variant_of"), F.col("text_sha256"))).drop("variant_of"), "text-keys")
     else:
         keys = keys.withColumn("variant", F.lit(None).cast("string"))
     by = [*by, "variant"]

@@ -280,3 +280,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     named = named.join(least, "component").select("n_shingles", "set_id", "set_check", "component_id")
     return (sets.join(named, ["n_shingles", "set_id", "set_check"], "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def kept_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without near copies, with all columns: of each component the row whose doc_id names it stays.
+
+    Rows are told apart by doc_id; of rows that share a doc_id all stay if one does.
+    """
+    found = jaccard_components(docs, width, percent)
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    gone = written(found.groupBy("doc_id").agg(F.max(stays).alias("stays")).where("not stays").select(F.col("doc_id").alias("_gone")), "near-copies")
+    return docs.join(small_side(gone, BROADCAST_ROWS), F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")

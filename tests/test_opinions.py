@@ -1,96 +1,69 @@
-"""OPN-2..5 against a direct, loop-based statement of the rules (brute force on the smoke tables)."""
+"""OPN-2..6 on literal annotated clauses; the expected words follow from the rules as SURVEY states them."""
 
-import re
+import pytest
+from pyspark.sql import functions as F
 
-from conftest import SMOKE
-from voicelens.functions import lexicon as LX
 from voicelens.operators import aspects as AS
-from voicelens.plans import registry as R
-from voicelens.plans import registry_io  # noqa: F401
-from voicelens.sources import adapters as A
+from voicelens.operators import opinions as OP
 from voicelens.sources import fixtures as FX
 
+SCHEMA = "clause_id long, tokens array<struct<i:int,word:string,pos:string,rel:string,head:int>>"
 
-def at(lst, k):
-    return lst[k] if 0 <= k < len(lst) else None
-
-
-def hed_rule(w, r):
-    if "HED" not in r:
-        return []
-    h = r.index("HED")
-    if h + 1 >= len(r):
-        return []
-    if r[h + 1] == "ADV" and "VOB" in r[h + 1:]:
-        return [w[h] + w[h + 1] + w[r.index("VOB")]]
-    return [w[h]]
-
-
-def aspect_opinion(toks, i):
-    w = [t["word"] for t in toks]
-    p = [t["pos"] for t in toks]
-    r = [t["rel"] for t in toks]
-    h = [t["head"] for t in toks]
-    ec, lg, out = w[i], r[i], []
-    if lg.endswith("OB") or lg == "HED":
-        kw = {}
-        for hi in range(len(h)):
-            if h[hi] == i and p[hi] in LX.CHILD_POS_ASPECT:
-                if p[hi] == "v":
-                    kw[str(hi)] = w[hi] + "".join(w[nh] for nh in range(len(h)) if h[nh] == hi and w[nh] != ec)
-                else:
-                    kw[str(hi - i)] = w[hi]
-        if kw:
-            best = kw[min(kw)]
-            if best != ec:
-                out.append(best)
-            elif lg == "HED" and "VOB" in r:
-                out.append(w[r.index("VOB")])
-        elif lg.endswith("OB"):
-            out += hed_rule(w, r)
-    elif lg == "SBV":
-        q = h[i]
-        if q - 1 >= 0 and r[q - 1] == "ADV":
-            out.append(w[q - 1] + w[q])
-        elif r[q] == "VOB":
-            out.append("".join(w[j] for j in range(len(r)) if r[j] == "VOB"))
-        elif r[q] == "HED":
-            out += hed_rule(w, r)
-        elif r[q] == "COO":
-            out.append("".join(w[j] for j in sorted({q} | {j for j in range(len(h)) if h[j] == q})))
-        else:
-            out.append(w[q])
-        if not out:
-            out.append(w[h[w.index(ec)]])
-    elif lg == "ATT":
-        pw = w[h[i]]
-        pi = w.index(pw)
-        if r[pi] == "COO":
-            out.append(pw)
-        elif r[pi] == "SBV":
-            pn = h[pi]
-            out.append(w[pn - 1] + w[pn] if pn - 1 >= 0 and r[pn - 1] == "ADV" else w[pn])
-        elif "HED" in r:
-            out.append(w[r.index("HED")])
-    elif lg == "COO":
-        for j in range(len(h)):
-            if h[j] == i:
-                out.append(w[j])
-                out += [w[ji] for ji in range(len(h)) if h[ji] == j]
-    return out
-
-
-def test_aspect_opinion_matches_rules(spark):
-    lk = AS.AspectLookup.from_dataframe(A.taxonomy_v(spark))
-    first = {}
-    for _, kw, code in lk.rows:
-        first.setdefault(kw, code)
-    expected = set()
-    for row in A.tokens_v(spark, SMOKE).collect():
-        toks = [t.asDict() for t in row.tokens]
-        for t in toks:
-            if t["word"] in first:
-                expected.add((row.clause_id, t["i"], t["word"], first[t["word"]], "|".join(aspect_opinion(toks, t["i"]))))
-    got = {tuple(r) for r in R.QUERIES["aspect_opinion"](spark, SMOKE).collect()}
+# one clause per rule: (word, pos, relation, head), the aspect's place, its opinion words
+ASPECT_CASES = {
+    "subject of a predicate preceded by an adverb": ([("food", "n", "SBV", 2), ("very", "d", "ADV", 2), ("good", "a", "HED", 0)], 0, ["verygood"]),
+    "subject of the root": ([("food", "n", "SBV", 1), ("tastes", "v", "HED", 0), ("good", "a", "CMP", 1)], 0, ["tastes"]),
+    "subject of a coordinated word": ([("x", "n", "HED", 0), ("food", "n", "SBV", 2), ("warm", "a", "COO", 0), ("fresh", "a", "RAD", 2)], 1, ["foodwarmfresh"]),
+    "subject of an object": ([("say", "v", "HED", 0), ("food", "n", "SBV", 2), ("cold", "a", "VOB", 0)], 1, ["cold"]),
+    "attribute of a subject": ([("meal", "n", "ATT", 1), ("taste", "n", "SBV", 2), ("good", "a", "HED", 0)], 0, ["good"]),
+    "attribute of an object": ([("like", "v", "HED", 0), ("meal", "n", "ATT", 2), ("taste", "n", "VOB", 0)], 1, ["like"]),
+    "attribute of a coordinated word": ([("like", "v", "HED", 0), ("meal", "n", "ATT", 2), ("taste", "n", "COO", 0)], 1, ["taste"]),
+    "object with an adjective": ([("have", "v", "HED", 0), ("warm", "a", "ATT", 2), ("meal", "n", "VOB", 0)], 2, ["warm"]),
+    "object without an adjective": ([("like", "v", "HED", 0), ("this", "r", "ATT", 2), ("meal", "n", "VOB", 0)], 2, ["like"]),
+    "coordinated with a child": ([("seat", "n", "HED", 0), ("meal", "n", "COO", 0), ("warm", "a", "ATT", 1)], 1, ["warm"]),
+    "another relation": ([("meal", "n", "POB", 9), ("x", "n", "RAD", 9)], 1, []),
+}
+
+
+def clause(spark, tokens):
+    rows = [(1, [(i, *t) for i, t in enumerate(tokens)])]
+    return OP.prepare(spark.createDataFrame(rows, SCHEMA))
+
+
+@pytest.mark.parametrize("case", ASPECT_CASES)
+def test_aspect_opinion(spark, case):
+    tokens, at, expected = ASPECT_CASES[case]
+    got = clause(spark, tokens).select(OP.aspect_opinion(F.lit(at), F.lit(tokens[at][0])).alias("o")).first().o
     assert got == expected
-    assert len(got) > 0
+
+
+def test_refine_opinion(spark):
+    tokens = [("not", "d", "ADV", 1), ("good", "a", "HED", 0), ("very", "d", "ADV", 3), ("run", "v", "COO", 1), ("and", "c", "LAD", 1)]
+    df = clause(spark, tokens)
+    refined = lambda w: df.select(OP.refine_opinion(F.lit(w), ["not"], "[a-z]").alias("o")).first().o
+    assert refined("not") == ["notgood"]         # a negation takes the next word
+    assert refined("run") == ["veryrun"]         # a verb takes the adverb before it
+    assert refined("good") == ["good"]           # anything else stays
+    assert refined("and") == ["and"]             # a connective without adjectival children stays
+
+
+def test_refine_predicate(spark):
+    get = lambda tokens: clause(spark, tokens).select(OP.refine_predicate(["not"], "[a-z]").alias("o")).first().o
+    assert get([("we", "r", "SBV", 1), ("got", "v", "HED", 0), ("help", "v", "VOB", 1)]) == ["help"]
+    assert get([("not", "d", "HED", 0), ("good", "a", "ADV", 0)]) == ["notgood"]
+    assert get([("good", "a", "HED", 0)]) == ["good"]
+    assert get([("x", "n", "SBV", 5)]) == []     # no root
+
+
+def test_clause_opinions(spark):
+    rows = [(1, [(0, "Meal", "n", "SBV", 2), (1, "very", "d", "ADV", 2), (2, "good", "a", "HED", 0)]),
+            (2, [(0, "nothing", "n", "HED", 0)])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    lookup = AS.AspectLookup(rows=[(1, "Meal", "B1")])
+    got = {r.clause_id: (r.codes, r.opinions) for r in OP.clause_opinions(df, lookup.m_all(), FX.NEGATIONS, "[a-z]").collect()}
+    assert got == {1: (["B1"], ["verygood"]), 2: ([], [])}
+
+
+def test_negated_opinions(spark):
+    df = clause(spark, [("no", "d", "ADV", 1), ("meal", "n", "HED", 0), ("not", "d", "ADV", 0)])
+    assert df.select(OP.negated_opinions("tokens", ["no", "not"], "[a-z]").alias("o")).first().o == ["nomeal"]

@@ -21,7 +21,8 @@ MAX_LOOKUP_ENTRIES = 200_000
 
 
 def first_keyword_rows(taxonomy: DataFrame) -> DataFrame:
-    """SRC-4 / WIN-2: first taxonomy row per keyword (by line number)."""
+    """SRC-4 / WIN-2: first taxonomy row per keyword (by line number), lower-cased as the tokens are."""
+    taxonomy = taxonomy.withColumn("keyword", F.lower("keyword"))
     w = Window.partitionBy("keyword").orderBy("line_no")
     return (taxonomy.withColumn("_rn", F.row_number().over(w))
             .filter("_rn = 1").drop("_rn"))
@@ -46,7 +47,7 @@ class AspectLookup:
             raise ValueError(
                 f"taxonomy has {n} rows, above the in-row lookup bound {max_entries}; "
                 "use aspect_count_join for the join-based path")
-        rows = sorted((r["line_no"], r["keyword"], r["code"])
+        rows = sorted((r["line_no"], r["keyword"].lower(), r["code"])
                       for r in taxonomy.select("line_no", "keyword", "code").collect())
         return cls(rows=rows, **kw)
 

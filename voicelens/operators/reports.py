@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as LX
 from ..functions.text import _array_lit
 from .keywords import keyword_array, rank_within
+from ..session import written
 from ..sources import fixtures as FX
 
 REPORT_KEYS = ["scope", "void", "period_kind", "period"]
@@ -27,6 +28,11 @@ def _by_key(arr, key: str):
     return F.array_sort(arr, lambda a, b: F.when(a[key] < b[key], -1).when(a[key] > b[key], 1).otherwise(0))
 
 
+def _pair(x):
+    """``["word", n]`` as JSON text: the word quoted, the count a number."""
+    return F.concat(F.regexp_replace(F.to_json(F.array(x["keyword"])), "\\]$", ""), F.lit(","), x["n"].cast("string"), F.lit("]"))
+
+
 def report_units(tagged: DataFrame, periods=("m", "w")) -> DataFrame:
     """Explode tagged rows into (scope, void, period_kind, period) units.
 
@@ -83,20 +89,13 @@ def overview_crosstab(units: DataFrame) -> DataFrame:
     Only observed emo and irr_f values of a unit form its grid; missing cells are 0.
     """
     base = units.select(*REPORT_KEYS, "irr_f", "emo", "id").distinct()
-    cube = (base.cube(*REPORT_KEYS, "emo", "irr_f")
-            .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_g")))
-    # keep the cube cells that fix all report keys
-    cells = cube.filter(F.col("_g") < 4).filter(" AND ".join(f"{k} IS NOT NULL" for k in REPORT_KEYS))
-    cells = cells.select(*REPORT_KEYS,
-                         F.when(F.col("_g").bitwiseAND(2) > 0, F.lit("All")).otherwise(F.col("emo").cast("string")).alias("emo"),
-                         F.when(F.col("_g").bitwiseAND(1) > 0, F.lit("All")).otherwise(F.col("irr_f").cast("string")).alias("irr_f"),
-                         F.col("n").cast("long").alias("n"))
-    emos = base.select(*REPORT_KEYS, F.col("emo").cast("string").alias("emo")).distinct().unionByName(
-        base.select(*REPORT_KEYS).distinct().withColumn("emo", F.lit("All")))
-    irrs = base.select(*REPORT_KEYS, F.col("irr_f").cast("string").alias("irr_f")).distinct().unionByName(
-        base.select(*REPORT_KEYS).distinct().withColumn("irr_f", F.lit("All")))
-    grid = emos.join(irrs, REPORT_KEYS)
-    return (grid.join(cells, REPORT_KEYS + ["emo", "irr_f"], "left")
+    with_all = lambda c: F.explode(F.array(F.col(c).cast("string"), F.lit("All")))
+    cells = (base.select(*REPORT_KEYS, with_all("emo").alias("emo"), "irr_f").select(*REPORT_KEYS, "emo", with_all("irr_f").alias("irr_f"))
+             .groupBy(*REPORT_KEYS, "emo", "irr_f").agg(F.count(F.lit(1)).alias("n")))
+    # every observed value has a margin cell, so the margins are the axes of the grid
+    emos = cells.where("irr_f = 'All'").select(*REPORT_KEYS, "emo")
+    irrs = cells.where("emo = 'All'").select(*REPORT_KEYS, "irr_f")
+    return (emos.join(irrs, REPORT_KEYS).join(cells, REPORT_KEYS + ["emo", "irr_f"], "left")
             .select(*REPORT_KEYS, "emo", "irr_f", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
@@ -107,35 +106,34 @@ def distinct_periods(tagged: DataFrame) -> DataFrame:
     return m.unionByName(w).distinct().orderBy("period_kind", "period")
 
 
-def report_table(units: DataFrame, stopkeys=FX.STOPKEYS, script: str = FX.KEYWORD_SCRIPT) -> DataFrame:
-    """RPT-1/2/3: one JSON report per (scope, void, period_kind, period).
+def report_table(units: DataFrame, stopkeys=FX.STOPKEYS, script: str = FX.KEYWORD_SCRIPT, scope: str | None = None) -> DataFrame:
+    """RPT-1/2/3: one JSON report per (scope, void, period_kind, period), of one ``scope`` or of both.
 
     ``{"overview": {irr_f: {emo: n}}, "detail": {status: {code: {"com_num": {emo: n},
     "keywords": {emo: [[keyword, n], ...]}}}}}`` — built by successive
     aggregations, each over data already reduced by the previous one.
     """
-    # the three measures read the same units: keep the slim unit rows once (memory, spilling to disk;
-    # a lost block is recomputed from lineage) instead of re-running the tagging per branch
-    from pyspark import StorageLevel
-    units = units.select(*REPORT_KEYS, "irr_f", "emo", "id", "chilid", "lable", "codes", "hed").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    # the three measures read the same units: write the slim rows once instead of tagging three times
+    if scope is not None:
+        units = units.where(F.col("scope") == scope)
+    units = units.select(*REPORT_KEYS, "irr_f", "emo", "id", "chilid", "lable", "codes", "hed")
+    units = written(units, "report-units")
     com = comments_by_sentiment(units)
     kw = keyword_counts(units, stopkeys, script)
     kw_lists = (kw.groupBy(*REPORT_KEYS, "status", "code", "emo")
                 .agg(F.array_sort(F.collect_list(F.struct("rank", "keyword", "n"))).alias("_l"))
                 .select(*REPORT_KEYS, "status", "code", F.col("emo").cast("string").alias("emo"),
-                        F.transform("_l", lambda x: F.array(x["keyword"], x["n"].cast("string"))).alias("kw")))
+                        F.parse_json(F.concat(F.lit("["), F.array_join(F.transform("_l", _pair), ","), F.lit("]"))).alias("kw")))
     com = com.select(*REPORT_KEYS, "status", "code", F.col("emo").cast("string").alias("emo"), "n")
     # every emo class of the code gets a keyword list, [] when it has none
     per_emo = com.join(kw_lists, REPORT_KEYS + ["status", "code", "emo"], "left")
     per_code = (per_emo.groupBy(*REPORT_KEYS, "status", "code").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("emo", "n")))).alias("com_num"),
         F.map_from_entries(_by_key(F.collect_list(F.struct(
-            "emo", F.coalesce("kw", F.array().cast("array<array<string>>")).alias("kw"))), "emo")).alias("keywords")))
+            "emo", F.coalesce("kw", F.parse_json(F.lit("[]"))).alias("kw"))), "emo")).alias("keywords")))
     # keyword lists for every sentiment class (0, 1, 2), [] where a class has none, as the original
     kw_all = F.map_from_entries(F.transform(F.array(F.lit("0"), F.lit("1"), F.lit("2")), lambda e: F.struct(
-        e.alias("emo"), F.coalesce(F.try_element_at(F.col("keywords"), e),
-                                   F.array().cast("array<array<string>>")).alias("kw"))))
+        e.alias("emo"), F.coalesce(F.try_element_at(F.col("keywords"), e), F.parse_json(F.lit("[]"))).alias("kw"))))
     per_code = per_code.withColumn("keywords", kw_all)
     per_status = (per_code.groupBy(*REPORT_KEYS, "status").agg(
         F.map_from_entries(_by_key(F.collect_list(F.struct(
@@ -149,5 +147,5 @@ def report_table(units: DataFrame, stopkeys=FX.STOPKEYS, script: str = FX.KEYWOR
         F.map_from_entries(_by_key(F.collect_list(F.struct("irr_f", "_m")), "irr_f")).alias("overview"))
     rep = overview.join(detail, REPORT_KEYS, "left")
     return rep.select(*REPORT_KEYS, F.to_json(F.struct(
-        "overview", F.coalesce("detail", F.create_map().cast("map<string,map<string,struct<com_num:map<string,bigint>,keywords:map<string,array<array<string>>>>>>")).alias("detail")),
+        "overview", F.coalesce("detail", F.create_map().cast("map<string,map<string,struct<com_num:map<string,bigint>,keywords:map<string,variant>>>>")).alias("detail")),
         {"ignoreNullFields": "false"}).alias("keywordsdata"))

@@ -1,32 +1,36 @@
 """STR-5 script normalisation with a mapping table (from_word → to_word).
 
-Single-character mappings become one ``translate`` (JVM-side, row-local).
-The mapping is a user dimension; its size is checked before it is embedded.
+Phrases go first, the longest first, each at its place from left to right;
+characters that no phrase takes are translated one by one.  The mapping is a
+user dimension (a dictionary of the script, not of the reviews); it is embedded
+in the expression, so the texts are read once and not shuffled.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import _col
-
-MAX_CHAR_MAP = 100_000
+from ..functions.text import _array_lit, _col
 
 
-def char_mapping(mapping: DataFrame, max_entries: int = MAX_CHAR_MAP) -> tuple[str, str]:
-    singles = mapping.filter((F.length("from_word") == 1) & (F.length("to_word") == 1))
-    n = singles.count()
-    if n > max_entries:
-        raise ValueError(f"character mapping has {n} rows, above the bound {max_entries}")
-    rows = sorted((r["from_word"], r["to_word"]) for r in singles.collect())
-    seen = {}
-    for a, b in rows:
-        seen.setdefault(a, b)
-    return "".join(seen), "".join(seen.values())
+def mapping_rows(mapping: DataFrame) -> dict[str, str]:
+    """The mapping as a dictionary; of repeated words the smallest row counts."""
+    rows = mapping.where("from_word != '' AND to_word IS NOT NULL").groupBy("from_word").agg(F.min("to_word").alias("to_word"))
+    return {r["from_word"]: r["to_word"] for r in rows.orderBy("from_word").collect()}
 
 
 def normalize_chars(c, mapping) -> Column:
-    """Replace every mapped character (mapping: DataFrame or (from, to) strings)."""
-    src, dst = char_mapping(mapping) if isinstance(mapping, DataFrame) else mapping
-    return F.translate(_col(c), src, dst)
+    """Replace every mapped phrase and character (mapping: DataFrame or dictionary)."""
+    rows = mapping_rows(mapping) if isinstance(mapping, DataFrame) else dict(mapping)
+    single = {a: b for a, b in rows.items() if len(a) == 1 and len(b) == 1}
+    chars = lambda x: F.translate(x, "".join(single), "".join(single.values())) if single else x
+    phrases = sorted((a for a in rows if a not in single), key=lambda a: (-len(a), a))
+    if not phrases:
+        return chars(_col(c))
+    pattern = "(?s)" + "|".join(map(re.escape, phrases)) + "|."
+    table = F.map_from_arrays(_array_lit(phrases), F.array(*[F.lit(rows[a]) for a in phrases]))
+    parts = F.regexp_extract_all(_col(c), F.lit(pattern), 0)
+    return F.array_join(F.transform(parts, lambda t: F.coalesce(F.try_element_at(table, t), chars(t))), "")

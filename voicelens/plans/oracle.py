@@ -63,6 +63,19 @@ def emit(x: str, delims: str) -> str:
             f"NOT regexp_matches(c, {q(cls + '$')}) OR (length(c) > 1 AND regexp_matches(c, {q(P.LETTER_CLASS)})))")
 
 
+def script_sql(x: str, rows) -> str:
+    """STR-5 over ``documents``: phrases, longest first, then single characters; joined in token order."""
+    import re
+    pairs = dict(sorted(rows, reverse=True))
+    words = sorted(pairs, key=lambda a: (-len(a), a))
+    table = ", ".join(f"({q(a)}, {q(b)})" for a, b in pairs.items())
+    pattern = "(?s)" + "|".join([re.escape(a) for a in words if len(a) > 1] + ["."])
+    return f"""WITH map(a, b) AS (VALUES {table}),
+toks AS (SELECT doc_id, unnest(t) AS t, unnest(range(0, len(t))) AS i FROM (SELECT doc_id, regexp_extract_all({x}, {q(pattern)}) AS t FROM documents))
+SELECT doc_id, coalesce(string_agg(coalesce(b, t), '' ORDER BY i), '') AS normalized
+FROM documents LEFT JOIN toks USING (doc_id) LEFT JOIN map ON map.a = toks.t GROUP BY doc_id"""
+
+
 def split_clauses(x: str) -> str:
     s = f"regexp_replace({clean_text(x)}, {q(P.SOFT_BREAKS)}, ';', 'g')"
     return (f"CASE WHEN regexp_matches({s}, {q(P.ENDER_CLASS)}) THEN {emit(s, P.CLAUSE_DELIMS_ENDERS)} "
@@ -93,7 +106,7 @@ def ordered_distinct(lst: str) -> str:
 # --- CTE building blocks -----------------------------------------------------
 
 def taxonomy_values(rows=FX.TAXONOMY_ROWS) -> str:
-    vals = ", ".join(f"({i + 1}, {q(k)}, {q(c)})" for i, (k, c) in enumerate(rows))
+    vals = ", ".join(f"({i + 1}, {q(k.lower())}, {q(c)})" for i, (k, c) in enumerate(rows))
     return f"(SELECT * FROM (VALUES {vals}) t(line_no, keyword, code))"
 
 
@@ -152,13 +165,15 @@ def codes_cte(name: str, src: str, keys: list[str], text: str) -> str:
 
 
 def routed_cte(name: str, src: str, keys: list[str], text: str, facility=FX.FACILITY_WORDS) -> str:
-    """Codes with airport-context routing per key of ``src``."""
+    """Codes with airport-context routing per key of ``src``; tokens and context are made before the unnest."""
     k = ", ".join(keys)
-    ctx = (f"(list_has_any({tokens(text)}, {arr(facility)}) OR contains({text}, {q(LX.AIRPORT_SUBSTRING)}))")
-    return f"""{name} AS (
+    return f"""{name}_toks AS MATERIALIZED (
+  SELECT {k}, irr_f, {tokens(text)} AS toks, contains({text}, {q(LX.AIRPORT_SUBSTRING)}) AS named FROM {src}),
+{name}_ctx AS MATERIALIZED (
+  SELECT {k}, irr_f, toks, CASE WHEN named OR list_has_any(toks, {arr(facility)}) THEN 1 ELSE 0 END AS airport FROM {name}_toks),
+{name} AS (
   SELECT {k}, list_sort(list_distinct(list(m.code))) AS codes
-  FROM (SELECT {k}, irr_f, CASE WHEN {ctx} THEN 1 ELSE 0 END AS airport,
-               unnest({tokens(text)}) AS t FROM {src}) x
+  FROM (SELECT {k}, irr_f, airport, unnest(toks) AS t FROM {name}_ctx) x
   JOIN m_route m ON m.keyword = x.t AND m.airport = x.airport
        AND (x.airport = 1 OR m.reg = CASE WHEN x.irr_f = 1 THEN 1 ELSE 0 END)
   GROUP BY {k})"""
@@ -168,9 +183,9 @@ def multi(codes: str) -> str:
     return f"(coalesce(len({codes}), 0) > 1 AND NOT (len({codes}) = 2 AND list_contains({codes}, {B9})))"
 
 
-def tagging_ctes(max_opinions: int = 5, stopwords=FX.STOPWORDS) -> str:
+def tagging_ctes(stopwords=FX.STOPWORDS) -> str:
     """CTEs from ``clean`` to ``tagged`` (one row per merged labelled clause)."""
-    kws = [k for k, _ in FX.TAXONOMY_ROWS]
+    kws = [k.lower() for k, _ in FX.TAXONOMY_ROWS]
     skip = arr(kws + list(stopwords))
     hed_raw = f"list_filter({tokens('sent')}, lambda t: regexp_matches(t, {q(P.LETTER_TOKEN)}) AND NOT list_contains({skip}, t))"
     return f"""
@@ -193,7 +208,7 @@ sents2 AS (
   SELECT id, irr_f, sent, pos, CAST(min(pos) OVER (PARTITION BY id, sent) AS INTEGER) AS chilid,
          {recompose('sent', stopwords)} AS view_n, {hed_raw} AS hed_raw
   FROM sents WHERE {keep_letters('sent')} <> ''),
-sents3 AS (SELECT * EXCLUDE (hed_raw), ({ordered_distinct('hed_raw')})[1:{max_opinions}] AS hed FROM sents2),
+sents3 AS (SELECT * EXCLUDE (hed_raw), {ordered_distinct('hed_raw')} AS hed FROM sents2),
 {routed_cte('codes_n', 'sents3', ['id', 'pos'], 'view_n')},
 {routed_cte('codes_s', 'sents3', ['id', 'pos'], 'sent')},
 labelled AS (

@@ -96,12 +96,12 @@ def q_report_json(spark, sf):
 
 @register("airline_report")
 def q_airline_report(spark, sf):
-    return RP.report_table(RP.report_units(tagged(spark, sf))).filter(F.col("scope") == "airline")
+    return RP.report_table(RP.report_units(tagged(spark, sf)), scope="airline")
 
 
 @register("airport_report")
 def q_airport_report(spark, sf):
-    return RP.report_table(RP.report_units(tagged(spark, sf))).filter(F.col("scope") == "airport")
+    return RP.report_table(RP.report_units(tagged(spark, sf)), scope="airport")
 
 
 # --- SNK-1 merge --------------------------------------------------------------------
@@ -221,8 +221,7 @@ from ..operators import script as SC  # noqa: E402
 from ..operators import vectors as VE  # noqa: E402
 
 
-@register("script_normalize", "SELECT doc_id, translate(text, " + O.q("".join(a for a, _ in FX.CHAR_MAP)) + ", "
-          + O.q("".join(b for _, b in FX.CHAR_MAP)) + ") AS normalized FROM documents")
+@register("script_normalize", O.script_sql("text", FX.CHAR_MAP))
 def q_script_normalize(spark, sf):
     mapping = spark.createDataFrame(FX.CHAR_MAP, "from_word STRING, to_word STRING")
     return docs(spark, sf).select("doc_id", SC.normalize_chars("text", mapping).alias("normalized"))
@@ -232,7 +231,8 @@ _WORDS = f"list_filter({O.tokens('text')}, lambda t: regexp_matches(t, {O.q(P.LE
 TFIDF_SQL = f"""
 WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
 terms AS (SELECT doc_id, unnest(ws) AS term FROM w
-          UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(ws)), lambda k: ws[k] || ' ' || ws[k + 1])) FROM w),
+          UNION ALL SELECT doc_id, array_to_string(ws[k:k + n - 1], ' ') AS term
+          FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS k FROM w, (SELECT unnest([2, 3, 4, 5]) AS n))),
 tf AS (SELECT doc_id, term, count(*) AS n FROM terms GROUP BY ALL),
 nd AS (SELECT count(*) AS n_docs FROM documents),
 dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
@@ -243,7 +243,7 @@ SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) A
 
 @register("tfidf_matrix", TFIDF_SQL)
 def q_tfidf_matrix(spark, sf):
-    m = VE.tfidf_matrix(docs(spark, sf), ngram_max=2, min_df=3, max_df=0.9)
+    m = VE.tfidf_matrix(docs(spark, sf), ngram_max=5, min_df=3, max_df=0.9)
     return m.select("doc_id", "term", F.round("w", 6).alias("w"))
 
 

@@ -309,7 +309,10 @@ tokens_v AS (
               WHEN i % 2 = 0 THEN 'VOB' ELSE 'ADV' END AS rel,
          CAST(CASE WHEN i = h THEN 0 WHEN i < h AND i % 4 = 2 THEN i + 1 ELSE h END AS INTEGER) AS head
   FROM (SELECT clause_id, unnest(w) AS word, CAST(unnest(range(0, len(w))) AS INTEGER) AS i, CAST(len(w) // 2 AS INTEGER) AS h
-        FROM (SELECT doc_id AS clause_id, (regexp_extract_all(lower(text), '[a-zà-öø-ÿß]+'))[1:12] AS w FROM documents)))
+        FROM (SELECT doc_id * 10000000 + n AS clause_id, regexp_extract_all(clause, '[a-zà-öø-ÿß]+') AS w
+              FROM (SELECT doc_id, unnest(c) AS clause, unnest(range(0, len(c))) AS n
+                    FROM (SELECT doc_id, regexp_extract_all(lower(text), '[^.,!?;]+') AS c FROM documents)))
+        WHERE len(w) > 0))
 """
 
 

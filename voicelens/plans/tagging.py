@@ -31,7 +31,6 @@ class TagConfig:
     facility_words: list = field(default_factory=lambda: list(FX.FACILITY_WORDS))
     airport_substring: str = LX.AIRPORT_SUBSTRING
     connectors: list = field(default_factory=lambda: list(LX.CONNECTORS))
-    max_opinions: int = 5
 
 
 def clause_cascade(text: Column, irr_f: Column, cfg: TagConfig) -> Column:
@@ -52,10 +51,10 @@ def clause_cascade(text: Column, irr_f: Column, cfg: TagConfig) -> Column:
 
 def opinion_candidates(tokens: Column, cfg: TagConfig) -> Column:
     """Opinion words of a clause without a parse: its letter tokens that are no
-    aspect keyword and no stopword, distinct, in order, at most ``max_opinions``."""
+    aspect keyword and no stopword, distinct, in order."""
     skip = not_in(cfg.lookup.keywords + list(cfg.stopwords))
     words = F.filter(tokens, lambda t: t.rlike(P.LETTER_TOKEN) & skip(t))
-    return F.slice(F.array_distinct(words), 1, cfg.max_opinions)
+    return F.array_distinct(words)
 
 
 def label_clauses(df: DataFrame, cfg: TagConfig, text_col: str = "evaluated_text") -> DataFrame:

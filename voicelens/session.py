@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -37,14 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (tests, local runs) a scratch folder is
-    created for this process.
+    as is, and a cluster without the setting is an error.  Only a local session
+    (tests) gets a scratch folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not current:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="voicelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:
@@ -54,6 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: shared by later branches, with its lineage cut."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A table location under the session's shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -71,15 +71,17 @@ def polarity_v(spark: SparkSession, rows=None) -> DataFrame:
     return spark.createDataFrame(rows, "word STRING, polarity INT")
 
 
-def tokens_v(spark: SparkSession, sf_dir: str, max_tokens: int = 12) -> DataFrame:
-    """Annotated tokens: the first ``max_tokens`` letter tokens of each document.
+def tokens_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotated tokens of each clause of each document: all its letter tokens, lower-cased.
 
-    Relations, POS and heads follow a fixed rule (see FIXTURES.md B); ``head``
-    is 0-based, the root's head is 0.
+    ``clause_id`` is doc_id * 10**7 + the clause's number.  Relations, POS and
+    heads follow a fixed rule (see FIXTURES.md B); ``head`` is 0-based, the
+    root's head is 0.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    words = F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-zà-öø-ÿß]+"), 0), 1, max_tokens)
-    base = stage(docs.select(F.col("doc_id").alias("clause_id"), words.alias("w")))
+    clauses = docs.select("doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("[^.,!?;]+"), 0)).alias("n", "clause"))
+    words = F.regexp_extract_all("clause", F.lit("[a-zà-öø-ÿß]+"), 0)
+    base = stage(clauses.select((F.col("doc_id") * 10_000_000 + F.col("n")).alias("clause_id"), words.alias("w"))).where(F.size("w") > 0)
     base = stage(base.withColumn("h", F.floor(F.size("w") / 2).cast("int")))
     h = F.col("h")
 

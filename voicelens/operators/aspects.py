@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as LX
+from ..functions.stage import bind
 from ..functions.text import _array_lit, _col, tokenize
 
 MAX_LOOKUP_ENTRIES = 200_000
@@ -82,21 +83,24 @@ class AspectLookup:
 
 
 def codes_of(tokens, lookup_map: Column) -> Column:
-    """Sorted distinct codes of the tokens found in ``lookup_map``."""
-    found = F.transform(_col(tokens), lambda t: F.try_element_at(lookup_map, t))
-    return F.array_sort(F.array_distinct(F.filter(found, lambda c: c.isNotNull())))
+    """Sorted distinct codes of the tokens found in ``lookup_map``.
+
+    The hash-based intersection with the keywords comes first, so only hits
+    (few per clause) are looked up.
+    """
+    hits = F.array_intersect(_col(tokens), F.map_keys(lookup_map))
+    return F.array_sort(F.array_distinct(F.transform(hits, lambda t: F.try_element_at(lookup_map, t))))
 
 
 def count_codes(tokens, irr_f, lookup: AspectLookup) -> Column:
     """AGG-2 core: distinct codes; the irregular-flight code is left out on normal flights."""
-    return F.when(_col(irr_f) == 1, codes_of(tokens, lookup.m_regular())).otherwise(
-        codes_of(tokens, lookup.m_all()))
+    return bind(_col(tokens), lambda t: F.when(_col(irr_f) == 1, codes_of(t, lookup.m_regular())).otherwise(
+        codes_of(t, lookup.m_all())))
 
 
 def is_multi_aspect(codes: Column, irregular_code: str = LX.IRREGULAR_CODE) -> Column:
     """More than one aspect, not counting the pair (x, irregular-flight)."""
-    n = F.size(codes)
-    return (n > 1) & ~((n == 2) & F.array_contains(codes, irregular_code))
+    return bind(codes, lambda c: (F.size(c) > 1) & ~((F.size(c) == 2) & F.array_contains(c, irregular_code)))
 
 
 def airport_context(tokens, text, facility_words=LX.FACILITY_WORDS, substring: str = LX.AIRPORT_SUBSTRING) -> Column:
@@ -112,10 +116,11 @@ def routed_codes(tokens, text, irr_f, lookup: AspectLookup, facility_words=LX.FA
                  substring: str = LX.AIRPORT_SUBSTRING) -> Column:
     """FLT-5 + JON-2: airport context → airport-context codes only; otherwise the
     other codes, without the irregular-flight code on normal flights."""
-    other = F.when(_col(irr_f) == 1, codes_of(tokens, lookup.m_other_regular())).otherwise(
-        codes_of(tokens, lookup.m_other()))
-    return F.when(airport_context(tokens, text, facility_words, substring),
-                  codes_of(tokens, lookup.m_airport())).otherwise(other)
+    def routed(t):
+        other = F.when(_col(irr_f) == 1, codes_of(t, lookup.m_other_regular())).otherwise(codes_of(t, lookup.m_other()))
+        return F.when(airport_context(t, text, facility_words, substring), codes_of(t, lookup.m_airport())).otherwise(other)
+
+    return bind(_col(tokens), routed)
 
 
 def aspect_count(reviews: DataFrame, lookup: AspectLookup, text_col: str = "evaluated_text") -> DataFrame:

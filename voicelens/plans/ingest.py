@@ -1,9 +1,9 @@
 """PIP-2 ingest_clean and its single steps (AGG-1, FLT-2, PRJ-3).
 
-One shuffle: the de-duplication on (fnum, fdate, text).  Everything else is
-row-local.  ``min_by`` keeps the smallest id per key and is partially
-aggregated map-side, so a key holding many copies is collapsed before the
-shuffle.
+The de-duplication groups on (fnum, fdate, SHA-256 of the text): a hash
+aggregation of short rows, partially aggregated map-side, so a key holding many
+copies is collapsed before the shuffle; the surviving ids then select the rows.
+Everything else is row-local.
 """
 
 from __future__ import annotations
@@ -19,9 +19,9 @@ DEDUP_KEY = ["fnum", "fdate", "evaluated_text"]
 
 def dedupe_reviews(raw: DataFrame, key=DEDUP_KEY, order_col: str = "id") -> DataFrame:
     """AGG-1: keep the first row (smallest ``order_col``) per key."""
-    others = [c for c in raw.columns if c not in key]
-    packed = F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_row")
-    return raw.groupBy(*key).agg(packed).select(*key, *[F.col(f"_row.{c}").alias(c) for c in others])
+    short = [F.sha2(F.col(c).cast("binary"), 256).alias(c) if c == "evaluated_text" else F.col(c) for c in key]
+    firsts = raw.select(order_col, *short).groupBy(*key).agg(F.min(order_col).alias(order_col)).select(order_col)
+    return raw.join(firsts, order_col, "left_semi")
 
 
 def drop_blank_text(df: DataFrame, text_col: str = "evaluated_text") -> DataFrame:

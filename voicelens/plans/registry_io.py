@@ -16,7 +16,7 @@ from ..operators import merge as MG
 from ..operators import opinions as OP
 from ..operators import reports as RP
 from ..operators import sentiment as SE
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources import adapters as A
 from ..sources import fixtures as FX
 from ..sources import readers as RD
@@ -107,18 +107,23 @@ def q_airport_report(spark, sf):
 # --- SNK-1 merge --------------------------------------------------------------------
 
 @register("upsert_merge", O.with_ctes(*TAG, O.keyword_rows_cte(), """
+tgt AS (SELECT id, chilid, seq, keyword, length(keyword) AS n FROM keywords),
 src AS (
-  SELECT id, chilid, seq, upper(keyword) AS keyword FROM keywords WHERE keyword < 'c'
-  UNION ALL SELECT id, chilid, 0, lable FROM tagged)""", body="""
+  SELECT id, chilid, seq, upper(keyword) || '!' AS keyword, NULL AS n FROM tgt WHERE keyword < 'c'
+  UNION ALL SELECT id, chilid, 0, lable, NULL FROM tagged)""", body="""
 SELECT coalesce(t.id, s.id) AS id, coalesce(t.chilid, s.chilid) AS chilid, coalesce(t.seq, s.seq) AS seq,
-       CASE WHEN s.id IS NOT NULL THEN s.keyword ELSE t.keyword END AS keyword
-FROM keywords t FULL OUTER JOIN src s ON t.id = s.id AND t.chilid = s.chilid AND t.seq = s.seq"""))
+       CASE WHEN s.id IS NOT NULL THEN s.keyword ELSE t.keyword END AS keyword,
+       CAST(coalesce(CASE WHEN t.id IS NOT NULL THEN t.n ELSE s.n END, 0) AS INTEGER) AS n
+FROM tgt t FULL OUTER JOIN src s ON t.id = s.id AND t.chilid = s.chilid AND t.seq = s.seq"""))
 def q_upsert_merge(spark, sf):
-    t = tagged(spark, sf)
-    target = KW.explode_keywords(t).select("id", "chilid", "seq", "keyword")
-    updates = target.filter(F.col("keyword") < "c").withColumn("keyword", F.upper("keyword"))
-    inserts = t.select("id", "chilid", F.lit(0).alias("seq"), F.col("lable").alias("keyword"))
-    return MG.merge_upsert(target, updates.unionByName(inserts), ["id", "chilid", "seq"], ["keyword"])
+    """Two versions of each update (the last wins), inserts with a null count, a count that updates leave alone."""
+    t = written(tagged(spark, sf).select("id", "chilid", "lable", "hed"), "tagged")
+    target = KW.explode_keywords(t).select("id", "chilid", "seq", "keyword", F.length("keyword").alias("n"))
+    hit = target.filter(F.col("keyword") < "c").withColumn("n", F.lit(None).cast("int"))
+    versions = hit.withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
+    updates = versions.withColumn("keyword", F.concat(F.upper("keyword"), F.when(F.col("version") == 2, "!").otherwise("")))
+    inserts = t.select("id", "chilid", F.lit(0).alias("seq"), F.col("lable").alias("keyword"), F.lit(None).cast("int").alias("n"), F.lit(1).alias("version"))
+    return MG.merge_upsert(target, updates.unionByName(inserts), ["id", "chilid", "seq"], ["keyword"], order_col="version")
 
 
 # --- SEN-1 ----------------------------------------------------------------------------
@@ -143,11 +148,12 @@ def q_sentiment_lexicon(spark, sf):
 
 @register("sentiment_model")
 def q_sentiment_model(spark, sf):
+    """Three sentiment classes, learned from the reviews that carry a label, predicted for all."""
     d = A.table(spark, sf, "documents").select("doc_id", "text")
-    lab = A.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    train = d.join(lab, "doc_id")
-    model = SE.sentiment_model(train)
-    return model.transform(d).select("doc_id", F.col("prediction").cast("int").alias("predicted_quality"))
+    rated = A.table(spark, sf, "labels").select("doc_id").distinct()
+    emo = A.reviews_v(spark, sf).select(F.col("id").alias("doc_id"), F.col("emo").cast("double").alias("label")).join(rated, "doc_id", "left_semi")
+    model = SE.sentiment_model(written(d.join(emo, "doc_id"), "rated-reviews"))
+    return model.transform(d).select("doc_id", F.col("prediction").cast("int").alias("emo"))
 
 
 # --- AGG-6 ----------------------------------------------------------------------------

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as LX
 from ..functions import patterns as P
 from ..functions.clauses import split_clauses, split_subclauses
-from ..functions.stage import stage
-from ..functions.text import _array_lit, collapse_repeats, keep_letters, not_in, recompose, tokenize
+from ..functions.stage import bind, stage
+from ..functions.text import _array_lit, collapse_repeats, keep_letters, recompose, tokenize
 from ..operators.aspects import (AspectLookup, codes_of, count_codes, is_multi_aspect, onehot_aspects,
                                  routed_codes, target_object_of)
 from ..sources import fixtures as FX
@@ -52,14 +52,13 @@ def clause_cascade(text: Column, irr_f: Column, cfg: TagConfig) -> Column:
 def opinion_candidates(tokens: Column, cfg: TagConfig) -> Column:
     """Opinion words of a clause without a parse: its letter tokens that are no
     aspect keyword and no stopword, distinct, in order."""
-    skip = not_in(cfg.lookup.keywords + list(cfg.stopwords))
-    words = F.filter(tokens, lambda t: t.rlike(P.LETTER_TOKEN) & skip(t))
-    return F.array_distinct(words)
+    words = F.filter(tokens, lambda t: t.rlike(P.LETTER_TOKEN))
+    return F.array_except(words, _array_lit(cfg.lookup.keywords + list(cfg.stopwords)))
 
 
 def label_clauses(df: DataFrame, cfg: TagConfig, text_col: str = "evaluated_text") -> DataFrame:
     """Adds ``comment`` (the clause list) and ``_items``: labelled clause structs."""
-    df = stage(df.withColumn("comment", clause_cascade(F.col(text_col), F.col("irr_f"), cfg)))
+    df = stage(df.withColumn("comment", clause_cascade(F.col(text_col), F.col("irr_f"), cfg)), "comment")
     irr = F.col("irr_f")
 
     def item(s, i):
@@ -79,13 +78,13 @@ def label_clauses(df: DataFrame, cfg: TagConfig, text_col: str = "evaluated_text
         codes_n = routed_codes(tokenize(x["view_n"]), x["view_n"], irr, cfg.lookup, cfg.facility_words,
                                cfg.airport_substring)
         codes_s = routed_codes(x["toks"], x["view"], irr, cfg.lookup, cfg.facility_words, cfg.airport_substring)
-        codes = F.when(F.size(codes_n) > 0, codes_n).otherwise(codes_s)
+        codes = bind(codes_n, lambda c: F.when(F.size(c) > 0, c).otherwise(codes_s))
         return F.struct(x["pos"].alias("pos"), x["view"].alias("view"),
                         x["view_n"].alias("view_n"), codes.alias("codes"),
                         opinion_candidates(x["toks"], cfg).alias("hed"))
 
     df = df.withColumn("_items", F.transform("_items", labelled))
-    df = stage(df.withColumn("_items", F.filter("_items", lambda x: F.size(x["codes"]) > 0)))
+    df = stage(df.withColumn("_items", F.filter("_items", lambda x: F.size(x["codes"]) > 0)), "_items")
     # CLS-4: clause number = first position of an equal clause, only for labelled clauses.
     return df.withColumn("_items", F.transform("_items", lambda x: x.withField(
         "chilid", F.array_position(F.col("comment"), x["view"]).cast("int"))))
@@ -120,7 +119,7 @@ TAGGED_ATTRS = ["fnum", "irr_f", "user_cabin", "dep_code", "arr_code", "fdate",
 
 def tag_reviews(clean: DataFrame, cfg: TagConfig, keep_comment: bool = True, extra_cols=("emo",)) -> DataFrame:
     """PIP-3: cleaned reviews → tagged clause rows (PRJ-1 contract order)."""
-    df = stage(label_clauses(clean, cfg))
+    df = stage(label_clauses(clean, cfg), "_items")
     df = df.withColumn("_merged", merge_same_label(F.col("_items")))
     extras = [c for c in extra_cols if c in clean.columns]
     keep = ["id"] + (["comment"] if keep_comment else []) + [c for c in TAGGED_ATTRS if c in clean.columns] + extras

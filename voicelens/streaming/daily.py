@@ -4,13 +4,13 @@ The streaming part is row-local (no streaming state): blank filter, flight
 regularity, text strip, period keys, carrier, tagging.  It runs with
 ``trigger(availableNow=True)`` into a parquet sink with a checkpoint under
 the shared folder, so a restarted job resumes where it stopped.  The batch
-step then keeps the first review per (flight, date, text) — the ingest
-de-duplication — and upserts the result by key.
+step then keeps the first review per (flight, date, text), the ingest
+de-duplication; ``merge_upsert`` merges the result into a stored table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as C
@@ -22,10 +22,10 @@ from ..plans.tagging import TagConfig, tag_reviews
 def clean_stream(raw: DataFrame, arrival_gap: str = "reference", crlf: str = "。") -> DataFrame:
     df = drop_blank_text(raw)
     df = df.withColumn("irr_f", C.irregular_flag("fdplan", "fdactual", "faplan", "faactual", arrival_gap))
-    df = df.withColumn("raw_text", F.col("evaluated_text"))
+    df = df.withColumn("text_key", F.sha2(F.col("evaluated_text").cast("binary"), 256))
     df = df.withColumn("evaluated_text", T.strip_crlf("evaluated_text", crlf))
     m, w = C.period_keys(F.col("fdate"))
-    return df.select("id", "evaluated_text", "raw_text", "fnum", "irr_f", "user_cabin",
+    return df.select("id", "evaluated_text", "text_key", "fnum", "irr_f", "user_cabin",
                      F.col("fdep_code").alias("dep_code"), F.col("farr_code").alias("arr_code"), "fdate",
                      m.alias("period_m"), w.alias("period_w"), carrier_code("fnum").alias("airline"), "emo")
 
@@ -33,7 +33,7 @@ def clean_stream(raw: DataFrame, arrival_gap: str = "reference", crlf: str = "
 def run_increment(spark: SparkSession, input_dir: str, schema: str, sink_dir: str, checkpoint_dir: str,
                   cfg: TagConfig) -> None:
     stream = spark.readStream.schema(schema).parquet(input_dir)
-    tagged = tag_reviews(clean_stream(stream), cfg, keep_comment=False, extra_cols=("emo", "raw_text"))
+    tagged = tag_reviews(clean_stream(stream), cfg, keep_comment=False, extra_cols=("emo", "text_key"))
     q = (tagged.writeStream.format("parquet").option("path", sink_dir)
          .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -41,7 +41,5 @@ def run_increment(spark: SparkSession, input_dir: str, schema: str, sink_dir: st
 
 def first_per_review(tagged: DataFrame) -> DataFrame:
     """Batch step: keep the tagged rows of the first review (smallest id) per (flight, date, text)."""
-    keys = tagged.select("id", "fnum", "fdate", "raw_text").distinct()
-    w = Window.partitionBy("fnum", "fdate", "raw_text").orderBy("id")
-    firsts = keys.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("id")
-    return tagged.join(firsts, "id", "left_semi").drop("raw_text")
+    firsts = tagged.groupBy("fnum", "fdate", "text_key").agg(F.min("id").alias("id")).select("id")
+    return tagged.join(firsts, "id", "left_semi").drop("text_key")

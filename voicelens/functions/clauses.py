@@ -28,7 +28,7 @@ def emit_chunks(c, delims: str) -> Column:
     )
 
 
-def mark_connectors(c, connectors: Iterable[str] = CONNECTORS) -> Column:
+def mark_connectors(c, connectors: Iterable[str] = CONNECTORS, terms: Iterable[str] = ()) -> Column:
     """CLS-1 step 2: a full stop before the first occurrence of each connector.
 
     If the token before it is sentence-final nothing changes; if it is of the
@@ -36,7 +36,7 @@ def mark_connectors(c, connectors: Iterable[str] = CONNECTORS) -> Column:
     without any connector are returned unchanged without further work.
     """
     x = _col(c)
-    toks = spaced_tokens(x)
+    toks = spaced_tokens(x, [*connectors, *terms])
     conn = _array_lit(connectors)
 
     # first[i]: token i (i > 0) is the first occurrence of a connector.
@@ -56,10 +56,13 @@ def mark_connectors(c, connectors: Iterable[str] = CONNECTORS) -> Column:
     return F.when(F.arrays_overlap(toks, conn), marked).otherwise(x)
 
 
-def split_clauses(c, connectors: Iterable[str] = CONNECTORS) -> Column:
-    """CLS-1: clean, mark connectors, pick the delimiter set, emit chunks."""
+def split_clauses(c, connectors: Iterable[str] = CONNECTORS, terms: Iterable[str] = ()) -> Column:
+    """CLS-1: clean, mark connectors, pick the delimiter set, emit chunks.
+
+    ``terms`` are further words of the language: a connector inside one of them is no connector.
+    """
     s = F.regexp_replace(clean_text(c), P.SOFT_BREAKS, ";")
-    s = mark_connectors(s, connectors)
+    s = mark_connectors(s, list(connectors), list(terms))
     return (F.when(s.rlike(P.ENDER_CLASS), emit_chunks(s, P.CLAUSE_DELIMS_ENDERS))
              .when(s.rlike(P.COMMA_CLASS), emit_chunks(s, P.CLAUSE_DELIMS_COMMAS))
              .otherwise(emit_chunks(s, P.CLAUSE_DELIMS_BLANK)))

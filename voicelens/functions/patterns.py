@@ -6,6 +6,9 @@ engine and RE2 give equal results.  Han characters are written literally
 differently.
 """
 
+import re
+
+# FIXED VALUES: character classes, delimiter sets and patterns of the data contract.
 HAN = "一-龥"
 # Latin letters of the test corpus (ASCII plus the Latin-1 letters).
 LATIN = "a-zA-Zà-öø-ÿÀ-ÖØ-Þß"
@@ -21,8 +24,19 @@ TOKEN_PATTERN = f"[{LATIN}]+|[0-9]+|[^ \\t\\r\\na-zA-Z0-9à-öø-ÿÀ-ÖØ-Þß]
 # Same, but every whitespace character is a token of its own, so that joining
 # the tokens with '' gives back the text.
 SPACED_TOKEN_PATTERN = f"[{LATIN}]+|[0-9]+|[^a-zA-Z0-9à-öø-ÿÀ-ÖØ-Þß]"
+
+
+def with_terms(pattern: str, terms) -> str:
+    """``pattern`` with the Han words of a lexicon as alternatives before it, the longest first.
+
+    Without them every Han character is a token of its own.
+    """
+    words = sorted({t for t in terms if len(t) > 1 and re.search(HAN_CLASS, t)}, key=lambda t: (-len(t), t))
+    return "|".join([*map(re.escape, words), pattern])
+
+
 # Whole-token test for letter tokens.
-LETTER_TOKEN = f"^[{LATIN}]+$"
+LETTER_TOKEN = f"^[{LATIN}{HAN}]+$"
 
 # Runs of characters that clean_text replaces with one blank.
 CLEAN_RUN = f"[^0-9a-zA-Z{HAN}.，,。？“”;；！!?]+"

@@ -61,17 +61,17 @@ def split_labels(c, sep: str = "、") -> Column:
 
 # --- TOK-1..6 ---------------------------------------------------------------
 
-def tokenize(c, lower: bool = True) -> Column:
-    """TOK-1: letter runs, digit runs and single other characters, blanks dropped."""
+def tokenize(c, lower: bool = True, terms: Iterable[str] = ()) -> Column:
+    """TOK-1: letter runs, digit runs, Han words of ``terms`` and single other characters, blanks dropped."""
     x = _col(c)
     if lower:
         x = F.lower(x)
-    return F.regexp_extract_all(x, F.lit(P.TOKEN_PATTERN), 0)
+    return F.regexp_extract_all(x, F.lit(P.with_terms(P.TOKEN_PATTERN, terms)), 0)
 
 
-def spaced_tokens(c) -> Column:
+def spaced_tokens(c, terms: Iterable[str] = ()) -> Column:
     """Tokens that keep every whitespace character, so ``array_join(t, '')`` = text."""
-    return F.regexp_extract_all(_col(c), F.lit(P.SPACED_TOKEN_PATTERN), 0)
+    return F.regexp_extract_all(_col(c), F.lit(P.with_terms(P.SPACED_TOKEN_PATTERN, terms)), 0)
 
 
 def shift_right(arr) -> Column:
@@ -97,9 +97,9 @@ def collapse_tokens(tokens) -> Column:
     return F.filter(kept, lambda x: x.isNotNull())
 
 
-def collapse_repeats(c) -> Column:
+def collapse_repeats(c, terms: Iterable[str] = ()) -> Column:
     """TOK-3: text → tokens → drop repeats → joined by ''."""
-    return F.array_join(collapse_tokens(spaced_tokens(c)), "")
+    return F.array_join(collapse_tokens(spaced_tokens(c, terms)), "")
 
 
 def remove_stopwords(c, stopwords: Iterable[str]) -> Column:
@@ -108,7 +108,7 @@ def remove_stopwords(c, stopwords: Iterable[str]) -> Column:
     return F.array_join(F.filter(spaced_tokens(c), keep), "")
 
 
-def recompose(c, stopwords: Iterable[str]) -> Column:
+def recompose(c, stopwords: Iterable[str], terms: Iterable[str] = ()) -> Column:
     """TOK-4: keep text-bearing, non-stopword tokens, collapse repeats, join ''.
 
     If the text has no text-bearing character at all: split on blanks, keep the
@@ -116,7 +116,7 @@ def recompose(c, stopwords: Iterable[str]) -> Column:
     """
     x = _col(c)
     stop = not_in(list(stopwords) + [" ", "\t", "\n"])
-    kept = F.filter(spaced_tokens(x), lambda t: t.rlike(P.RECOMPOSE_KEEP) & stop(t))
+    kept = F.filter(spaced_tokens(x, terms), lambda t: t.rlike(P.RECOMPOSE_KEEP) & stop(t))
     pieces = F.filter(F.split(x, " "), lambda t: t.rlike(P.WIDE_ASCII_CLASS) & stop(t))
     return (F.when(x.rlike(P.RECOMPOSE_KEEP), F.array_join(collapse_tokens(kept), ""))
              .otherwise(F.array_join(collapse_tokens(pieces), " ")))

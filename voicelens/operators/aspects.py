@@ -125,7 +125,7 @@ def routed_codes(tokens, text, irr_f, lookup: AspectLookup, facility_words=LX.FA
 
 def aspect_count(reviews: DataFrame, lookup: AspectLookup, text_col: str = "evaluated_text") -> DataFrame:
     """AGG-2: (id, n_aspects, codes) per review; a narrow transformation."""
-    codes = count_codes(tokenize(F.col(text_col)), F.col("irr_f"), lookup)
+    codes = count_codes(tokenize(F.col(text_col), terms=lookup.keywords), F.col("irr_f"), lookup)
     return reviews.select(
         "id",
         F.size(codes).cast("long").alias("n_aspects"),

@@ -31,6 +31,11 @@ class TagConfig:
     facility_words: list = field(default_factory=lambda: list(FX.FACILITY_WORDS))
     airport_substring: str = LX.AIRPORT_SUBSTRING
     connectors: list = field(default_factory=lambda: list(LX.CONNECTORS))
+    lexicon: list = field(default_factory=list)  # further Han words that tokens may be
+
+    @property
+    def terms(self) -> list:
+        return [*self.lookup.keywords, *self.facility_words, *self.connectors, *self.stopwords, *self.lexicon]
 
 
 def clause_cascade(text: Column, irr_f: Column, cfg: TagConfig) -> Column:
@@ -41,12 +46,12 @@ def clause_cascade(text: Column, irr_f: Column, cfg: TagConfig) -> Column:
     again into sub-clauses of its collapsed form.
     """
     def multi(x):
-        return is_multi_aspect(count_codes(tokenize(x), irr_f, cfg.lookup))
+        return is_multi_aspect(count_codes(tokenize(x, terms=cfg.terms), irr_f, cfg.lookup))
 
-    level1 = F.when(multi(text), split_clauses(collapse_repeats(text), cfg.connectors)).otherwise(F.array(text))
+    level1 = F.when(multi(text), split_clauses(collapse_repeats(text, cfg.terms), cfg.connectors, cfg.terms)).otherwise(F.array(text))
     return F.flatten(F.transform(
         level1,
-        lambda c: F.when(multi(c), split_subclauses(collapse_repeats(c))).otherwise(F.array(c))))
+        lambda c: F.when(multi(c), split_subclauses(collapse_repeats(c, cfg.terms))).otherwise(F.array(c))))
 
 
 def opinion_candidates(tokens: Column, cfg: TagConfig) -> Column:
@@ -62,8 +67,8 @@ def label_clauses(df: DataFrame, cfg: TagConfig, text_col: str = "evaluated_text
     irr = F.col("irr_f")
 
     def item(s, i):
-        toks = tokenize(s)
-        view_n = recompose(s, cfg.stopwords)
+        toks = tokenize(s, terms=cfg.terms)
+        view_n = recompose(s, cfg.stopwords, cfg.terms)
         return F.struct(
             i.alias("pos"),
             s.alias("view"),
@@ -75,7 +80,7 @@ def label_clauses(df: DataFrame, cfg: TagConfig, text_col: str = "evaluated_text
     df = df.withColumn("_items", F.filter("_items", lambda x: keep_letters(x["view"]) != ""))
 
     def labelled(x):
-        codes_n = routed_codes(tokenize(x["view_n"]), x["view_n"], irr, cfg.lookup, cfg.facility_words,
+        codes_n = routed_codes(tokenize(x["view_n"], terms=cfg.terms), x["view_n"], irr, cfg.lookup, cfg.facility_words,
                                cfg.airport_substring)
         codes_s = routed_codes(x["toks"], x["view"], irr, cfg.lookup, cfg.facility_words, cfg.airport_substring)
         codes = bind(codes_n, lambda c: F.when(F.size(c) > 0, c).otherwise(codes_s))

@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -67,14 +68,24 @@ def test_unequal_texts_under_one_fingerprint(spark, monkeypatch):
 
 
 def test_comparison_finds_differing_texts(spark):
-    docs = spark.createDataFrame([(i, "a" * 70_000 + str(i % 2)) for i in range(8)] + [(20, "b")], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, "é" * 70_000 + str(i % 2)) for i in range(8)] + [(20, "b")], "doc_id long, text string")
     keys = D.text_keys(docs).toPandas()
     real = dict(zip(keys["doc_id"], keys["fingerprint"], strict=True))
-    groups = [(real[0], 70_001, 4, 6), (real[1], 70_001, 4, 7)]
+    groups = [(real[0], 140_001, 4, 6), (real[1], 140_001, 4, 7)]
     schema = "fingerprint long, n_bytes long, group_size long, keep_id long"
     assert D._differing(docs, spark.createDataFrame(groups, schema)).count() == 0
 
 
+def test_comparison_stands_behind_the_fingerprint():
+    texts = ["é" * 40_000, "é" * 40_000, "é" * 39_999 + "è", "other group", "other grouq", "é" * 40_000]
+    groups = [(1, 80_000, 0), (1, 80_000, 0), (1, 80_000, 0), (2, 11, 0), (2, 11, 0), (1, 80_000, 1)]
+    columns = [pa.array(c) for c in zip(*groups, strict=True)]
+    batch = pa.RecordBatch.from_arrays([*columns[:2], pa.array([t.encode() for t in texts]), columns[2]], names=["fingerprint", "n_bytes", "bytes", "salt"])
+    found = [r for b in D.differing_texts(iter([batch.slice(0, 1), batch.slice(1, 3), batch.slice(4)])) for r in b.to_pylist()]
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert found == [{"fingerprint": 1, "n_bytes": 80_000, "text_sha256": digest(texts[2])}, {"fingerprint": 2, "n_bytes": 11, "text_sha256": digest(texts[4])}]
+
+
 def test_parts_and_pipeline_rows(spark):
     parts = spark.createDataFrame([(1, 0, "ab"), (1, 1, None), (1, 2, "cé"), (2, 0, "abcé"), (3, 0, "")], "doc long, part int, text string")
     got = {r.doc: (r.n_bytes, r.fingerprint) for r in D.fingerprint_parts(parts, "doc", "part", "text").collect()}

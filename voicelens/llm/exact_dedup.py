@@ -114,6 +114,25 @@ def text_keys(docs: DataFrame) -> DataFrame:
             .select(F.monotonically_increasing_id().alias("row_id"), "*"))
 
 
+def differing_texts(batches):
+    """Chunkwise comparison of sorted rows (fingerprint, n_bytes, bytes, salt) with the first row of their sub-group.
+
+    Yields fingerprint, length and SHA-256 of the rows that differ; two texts are in memory at a time.
+    """
+    group, kept = None, b""
+    for batch in batches:
+        out = []
+        for h, n, salt, data in zip(*(batch.column(c).to_pylist() for c in ("fingerprint", "n_bytes", "salt")), batch.column("bytes"), strict=True):
+            view = memoryview(data.as_buffer()).cast("B")
+            if (h, n, salt) != group:
+                group, kept = (h, n, salt), memoryview(bytes(view))
+                continue
+            if any(view[at:at + CHUNK] != kept[at:at + CHUNK] for at in range(0, n, CHUNK)):
+                out.append((h, n, hashlib.sha256(view).hexdigest()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["fingerprint", "n_bytes", "text_sha256"])
+
+
 def _differing(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """SHA-256 values of those rows of candidate groups whose text is not that of the row that stays."""
 
@@ -136,22 +155,7 @@ def _differing(docs: DataFrame, groups: DataFrame) -> DataFrame:
                        F.explode(F.when(stays, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(own))).alias("salt"))
     rows = rows.repartition("fingerprint", "n_bytes", "salt").sortWithinPartitions("fingerprint", "n_bytes", "salt", F.col("stays").desc())
 
-    def compare(batches):
-        group, kept = None, b""
-        for batch in batches:
-            out = []
-            for h, n, salt, data in zip(*(batch.column(c).to_pylist() for c in ("fingerprint", "n_bytes", "salt")), batch.column("bytes"), strict=True):
-                data = data.as_buffer()
-                if (h, n, salt) != group:
-                    group, kept = (h, n, salt), memoryview(bytes(data))
-                    continue
-                view = memoryview(data)
-                if any(view[at:at + CHUNK] != kept[at:at + CHUNK] for at in range(0, n, CHUNK)):
-                    out.append((h, n, hashlib.sha256(view).hexdigest()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["fingerprint", "n_bytes", "text_sha256"])
-
-    return rows.drop("stays").mapInArrow(compare, "fingerprint long, n_bytes long, text_sha256 string").distinct()
+    return rows.drop("stays").mapInArrow(differing_texts, "fingerprint long, n_bytes long, text_sha256 string").distinct()
 
 
 def _groups(keys: DataFrame, by: list[str]) -> DataFrame:

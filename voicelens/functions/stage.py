@@ -17,10 +17,10 @@ def stage(df: DataFrame, *computed: str) -> DataFrame:
     are named) go through it; filters and pruning on the others pass below it.
     """
     if not computed:
-        return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_r")).select("_r.*")
+        return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_staged")).select("_staged.*")
     others = [c for c in df.columns if c not in computed]
-    packed = df.select(*others, F.explode(F.array(F.struct(*computed))).alias("_r"))
-    return packed.select(*[F.col(f"_r.{c}").alias(c) if c in computed else F.col(c) for c in df.columns])
+    packed = df.select(*others, F.explode(F.array(F.struct(*computed))).alias("_staged"))
+    return packed.select(*[F.col(f"_staged.{c}").alias(c) if c in computed else F.col(c) for c in df.columns])
 
 
 def bind(value: Column, body) -> Column:

@@ -112,6 +112,13 @@ def airport_context(tokens, text, facility_words=LX.FACILITY_WORDS, substring: s
     return hit
 
 
+def routed_map(tokens, text, irr_f, lookup: AspectLookup, facility_words=LX.FACILITY_WORDS,
+               substring: str = LX.AIRPORT_SUBSTRING) -> Column:
+    """FLT-5: the keyword map of a clause's context."""
+    other = F.when(_col(irr_f) == 1, lookup.m_other_regular()).otherwise(lookup.m_other())
+    return F.when(airport_context(tokens, text, facility_words, substring), lookup.m_airport()).otherwise(other)
+
+
 def routed_codes(tokens, text, irr_f, lookup: AspectLookup, facility_words=LX.FACILITY_WORDS,
                  substring: str = LX.AIRPORT_SUBSTRING) -> Column:
     """FLT-5 + JON-2: airport context → airport-context codes only; otherwise the

@@ -198,19 +198,23 @@ def clause_opinions(df: DataFrame, keyword_map: Column, negations, script: str,
                     tokens_col: str = "tokens") -> DataFrame:
     """OPN-5: aspect codes and opinion words of each clause (distinct, sorted).
 
-    ``keyword_map`` is the (routed) taxonomy lookup; each aspect token's
-    opinions (OPN-2) are refined (OPN-3) when they are other words of the clause.
+    ``keyword_map`` is the taxonomy lookup, as a rule that of the clause's
+    context (``routed_map``).  Only tokens that it holds are worked on; each
+    aspect token's opinions (OPN-2) are refined (OPN-3) when they are other
+    words of the clause.
     """
-    df = prepare(df, tokens_col)
+    df = stage(prepare(df, tokens_col).withColumn("_map", keyword_map).withColumn(
+        "_hits", F.filter("_tok", lambda x: F.array_contains(F.map_keys("_map"), x["word"]))), "_map", "_hits")
 
     def per_token(x):
-        code = F.try_element_at(keyword_map, x["word"])
+        code = F.try_element_at(F.col("_map"), x["word"])
         ops = aspect_opinion(x["i"], x["word"])
         refined = F.flatten(F.transform(ops, lambda k: F.when(
             (k != x["word"]) & F.array_contains(F.col("_w"), k), refine_opinion(k, negations, script))
             .otherwise(F.array(k))))
         return F.named_struct(F.lit("code"), code, F.lit("ops"), refined)
 
-    hits = F.filter(F.transform(F.col("_tok"), per_token), lambda s: s["code"].isNotNull())
+    df = stage(df.withColumn("_found", F.transform("_hits", per_token)), "_found")
+    hits = F.col("_found")
     return df.select("*", F.array_sort(F.array_distinct(F.transform(hits, lambda s: s["code"]))).alias("codes"),
                      F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda s: s["ops"])))).alias("opinions"))

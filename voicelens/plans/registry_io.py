@@ -313,9 +313,10 @@ def q_aspect_opinion(spark, sf):
     lk = lookup(spark)
     m = lk.m_all()
     df = _opn_base(spark, sf)
-    per = F.filter(F.transform("_tok", lambda x: F.named_struct(
+    hits = F.filter("_tok", lambda x: F.array_contains(F.map_keys(m), x["word"]))
+    per = F.transform(hits, lambda x: F.named_struct(
         F.lit("i"), x["i"], F.lit("word"), x["word"], F.lit("code"), F.try_element_at(m, x["word"]),
-        F.lit("ops"), OP.aspect_opinion(x["i"], x["word"]))), lambda s: s["code"].isNotNull())
+        F.lit("ops"), OP.aspect_opinion(x["i"], x["word"])))
     e = df.select("clause_id", F.explode(per).alias("a"))
     return e.select("clause_id", F.col("a.i").alias("i"), F.col("a.word").alias("word"),
                     F.col("a.code").alias("code"), F.array_join("a.ops", "|").alias("opinions"))
@@ -341,7 +342,11 @@ def q_refine_predicate(spark, sf):
 @register("clause_opinions")
 def q_clause_opinions(spark, sf):
     lk = lookup(spark)
-    out = OP.clause_opinions(A.tokens_v(spark, sf), lk.m_all(), FX.NEGATIONS, FX.KEYWORD_SCRIPT)
+    flags = clean(spark, sf).select("id", "irr_f")
+    tv = A.tokens_v(spark, sf).withColumn("id", F.floor(F.col("clause_id") / 10_000_000)).join(flags, "id")
+    words = F.col("tokens.word")
+    route = AS.routed_map(words, F.array_join(words, ""), F.col("irr_f"), lk, FX.FACILITY_WORDS)
+    out = OP.clause_opinions(tv, route, FX.NEGATIONS, FX.KEYWORD_SCRIPT)
     return out.select("clause_id", F.array_join("codes", "、").alias("codes"),
                       F.array_join("opinions", "、").alias("opinions"))
 

@@ -37,11 +37,11 @@ def fluency_regroup(docs: DataFrame, window: int = 4, text_col: str = "text") ->
     n_tok, vocab = float(stats["n"] or 0), float(stats["v"] or 0)
 
     # candidates (doc, p, L) and their token sequences, inside the row
-    n = F.size("units")
-    cands = base.select("doc_id", "units", F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).alias("p"))
-    cands = cands.filter(F.col("p") < n).select("doc_id", "p", F.explode(F.sequence(F.lit(1), F.lit(window))).alias("L"), "units")
-    cands = cands.filter(F.col("p") + F.col("L") <= n)
-    cands = stage(cands.select("doc_id", "p", "L", _words(F.array_join(F.slice("units", F.col("p") + 1, F.col("L")), "")).alias("w")))
+    # each position carries its next ``window`` units only, so a document's rows grow in proportion to its units
+    ahead = F.transform("units", lambda _, p: F.slice("units", p + 1, window))
+    cands = base.select("doc_id", F.posexplode(ahead).alias("p", "ahead"))
+    cands = cands.select("doc_id", "p", "ahead", F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("L"))
+    cands = stage(cands.select("doc_id", "p", "L", _words(F.array_join(F.slice("ahead", F.lit(1), F.col("L")), "")).alias("w")))
     pos = cands.select("doc_id", "p", "L", F.size("w").alias("m"),
                        F.posexplode(F.zip_with(shift_right("w"), "w", lambda a, b: F.named_struct(F.lit("a"), a, F.lit("b"), b))).alias("k", "e"))
     pos = pos.select("doc_id", "p", "L", "m", "k", F.col("e.a").alias("a"), F.col("e.b").alias("b"))

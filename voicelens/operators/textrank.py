@@ -21,7 +21,7 @@ from ..functions.text import not_in, tokenize
 
 def textrank_keywords(docs: DataFrame, stopwords, span: int = 5, damping: float = 0.85, steps: int = 10,
                       k: int = 10, checkpoint_every: int = 5, text_col: str = "text") -> DataFrame:
-    from ..session import ensure_checkpoint_dir
+    from ..session import ensure_checkpoint_dir, written
     ensure_checkpoint_dir(docs.sparkSession)  # the session's shared folder; a scratch one only when unset
     skip = not_in(stopwords)
     words = F.filter(tokenize(F.col(text_col)), lambda t: t.rlike(P.LETTER_TOKEN) & skip(t))
@@ -37,6 +37,9 @@ def textrank_keywords(docs: DataFrame, stopwords, span: int = 5, damping: float
     edges = both.groupBy("doc_id", "src", "dst").agg(F.count(F.lit(1)).cast("double").alias("wt"))
     out_sum = edges.groupBy("doc_id", "src").agg(F.sum("wt").alias("out"))
     edges = edges.join(out_sum, ["doc_id", "src"]).select("doc_id", "src", "dst", (F.col("wt") / F.col("out")).alias("p"))
+    # the steps read the edges from the shared folder instead of making them from the texts again
+    edges = written(edges, "textrank-edges")
+    out_sum = edges.select("doc_id", "src").distinct()
     n_nodes = out_sum.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     rank = out_sum.join(n_nodes, "doc_id").select("doc_id", F.col("src").alias("term"), (1.0 / F.col("n")).alias("r"))
     for step in range(1, steps + 1):

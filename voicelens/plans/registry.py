@@ -1,7 +1,8 @@
 """Registered queries: name → (Spark plan builder, DuckDB oracle SQL).
 
 Every query reads the test tables under ``sf_dir`` (or data Spark derives
-from them) in full.  Builders return lazy DataFrames; nothing is collected.
+from them) in full.  Builders return DataFrames; those with intermediate tables, model fits or
+streams run these while the query is built, and collect bounded dimensions only.
 """
 
 from __future__ import annotations

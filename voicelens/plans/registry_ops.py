@@ -253,8 +253,8 @@ JOIN (SELECT keyword, arg_min(code, line_no) AS code FROM tax GROUP BY keyword)
 def q_join_aspect_keywords(spark, sf):
     first = AS.first_keyword_rows(A.taxonomy_v(spark)).select("keyword", "code")
     toks = docs(spark, sf).select("doc_id", F.explode(F.array_distinct(T.tokenize("text"))).alias("keyword"))
-    # the taxonomy is a user dimension of checked, fixed size: broadcast it
-    return toks.join(F.broadcast(first), "keyword").select("doc_id", "keyword", "code")
+    # Spark broadcasts the taxonomy when its size allows, otherwise the join shuffles
+    return toks.join(first, "keyword").select("doc_id", "keyword", "code")
 
 
 @register("first_match", "SELECT keyword, arg_min(code, line_no) AS code, CAST(min(line_no) AS INTEGER) AS line_no FROM "
@@ -271,7 +271,7 @@ WHERE token NOT IN (SELECT unnest({O.arr(STOP)}))""")
 def q_anti_stopwords(spark, sf):
     toks = docs(spark, sf).select("doc_id", F.posexplode(T.tokenize("text")).alias("pos", "token"))
     stop = A.wordlist(spark, STOP, "token")
-    return toks.join(F.broadcast(stop), "token", "left_anti").select("doc_id", "pos", "token")
+    return toks.join(stop, "token", "left_anti").select("doc_id", "pos", "token")
 
 
 @register("join_clause_review", O.with_ctes(*TAG, O.keyword_rows_cte(), body="""

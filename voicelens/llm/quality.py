@@ -7,13 +7,13 @@ From the probabilities follow the expected grade and the tail probability by
 which documents are selected.
 
 Features are presence features of the whole text, hashed into ``2 ** bits``
-weights: its distinct words, and bucketed shares (of repeated neighbours, of
+weights: its distinct words and their stems (first letters), and bucketed shares (of repeated neighbours, of
 distinct words, of repeated lines, of words with symbols, of upper-case words,
 and its length).
 
 Training uses at most ``max_labels`` rated documents, chosen by a hash of their
 id, as sorted feature positions (a document has at most ``2 ** bits`` of them).
-One task runs adaptive gradient steps over that bounded sample; models trained on
+One task runs gradient steps over that bounded sample; models trained on
 parts and averaged found far fewer of the rare decisive words.  Scoring is one
 pass over all documents without a shuffle.
 """
@@ -34,6 +34,8 @@ BITS = 18
 EPOCHS = 8
 MAX_LABELS = 20_000
 GRADES = 3
+#: Characters of a word's stem feature, and documents of the sample that must show a feature for it to count.
+STEM, MIN_SEEN = 5, 5
 MEMO_WORDS = 400_000
 SYMBOLS = "#*$%&|<>!?~^=+@{}[]\\_"
 
@@ -64,6 +66,7 @@ def features(text: str | None) -> np.ndarray:
     distinct = set(words)
     lines = [x for x in text.split("\n") if x]
     names = {w.lower().translate(_INNER) for w in distinct}
+    names.update([f"{w[:STEM]}~" for w in names if len(w) > STEM])
     symbols = sum(w[-1] in SYMBOLS for w in words)
     names.update((
         _bucket("again", sum(map(operator.eq, words, words[1:])) / n),
@@ -79,7 +82,8 @@ def features(text: str | None) -> np.ndarray:
 class Model:
     """Shared weights, rarity of each feature in the rated sample, and ordered thresholds.
 
-    A document's features weigh by their rarity, scaled to unit length.
+    Features of nearly every document weigh little, those of few rated ones nothing;
+    a document's features are scaled to unit length.
     """
 
     def __init__(self, weights: np.ndarray, rarity: np.ndarray, thresholds: np.ndarray):
@@ -88,7 +92,7 @@ class Model:
 
     def tails(self, at: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1 ... of a document with these features."""
-        z = self.weighted[at].sum() / math.sqrt(self.squares[at].sum()) - self.thresholds
+        z = self.weighted[at].sum() / math.sqrt(self.squares[at].sum() + 1e-12) - self.thresholds
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -97,33 +101,31 @@ def keep_all() -> Model:
     return Model(np.zeros(1 << BITS), np.ones(1 << BITS), np.full(GRADES - 1, -10.0))
 
 
-def fit(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, rate: float = 1.0) -> Model:
-    """Maximum likelihood by adaptive gradient steps over rows (features, grade), in their order."""
+def fit(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, rate: float = 6.0, threshold_rate: float = 0.1, decay: float = 0.5) -> Model:
+    """Maximum likelihood by gradient steps over rows (features, grade), in their order."""
     seen = np.zeros(1 << BITS)
     for at, _ in rows:
         seen[at] += 1
-    rarity = np.log((len(rows) + 1) / (seen + 1)) + 0.1
+    rarity = np.where(seen >= MIN_SEEN, np.minimum(1.0, np.log((len(rows) + 1) / (seen + 1)) + 0.05), 0.0)
     sizes = np.bincount([grade for _, grade in rows], minlength=GRADES)
     importance = np.minimum(4.0, np.sqrt(len(rows) / ((sizes > 0).sum() * np.maximum(sizes, 1))))
-    w, gw = np.zeros(len(seen)), np.full(len(seen), 1e-2)
-    t, gt = np.arange(GRADES - 1) - GRADES / 2.0, np.ones(GRADES - 1)
-    for _ in range(epochs):
-        for at, grade in rows:
+    w, t = np.zeros(len(seen)), np.arange(GRADES - 1) - GRADES / 2.0
+    units = [(at[rarity[at] > 0], grade) for at, grade in rows]
+    for epoch in range(epochs):
+        slower = 1 / (1 + decay * epoch)
+        for at, grade in units:
             x = rarity[at]
-            x = x / math.sqrt((x * x).sum())
+            x = x / math.sqrt((x * x).sum() + 1e-12)
             tail = np.r_[1.0, 1 / (1 + np.exp(-np.clip((w[at] * x).sum() - t, -30, 30))), 0.0]
             slope = tail * (1 - tail)
             pull = importance[grade] / max(tail[grade] - tail[grade + 1], 1e-9)
-            g = -pull * (slope[grade] - slope[grade + 1]) * x          # of -log P(grade), by weight
-            gw[at] += g * g
-            w[at] -= rate * g / np.sqrt(gw[at])
-            step = np.zeros(GRADES - 1)                                # and by threshold
+            w[at] += slower * rate * pull * (slope[grade] - slope[grade + 1]) * x       # along log P(grade), by weight
+            step = np.zeros(GRADES - 1)                                                 # and against it, by threshold
             if grade > 0:
                 step[grade - 1] += pull * slope[grade]
             if grade < GRADES - 1:
                 step[grade] -= pull * slope[grade + 1]
-            gt += step * step
-            t = np.maximum.accumulate(t - rate * step / np.sqrt(gt))
+            t = np.maximum.accumulate(t - slower * threshold_rate * step)
     return Model(w, rarity, t)
 
 

@@ -14,13 +14,14 @@ blocks than that, some blocks are equal (pigeonhole).
 * A set keeps d + 1 of its blocks, the fullest first (an order that depends on
   the block alone).  By the prefix argument two linked sets still share a kept
   block, and empty or thin blocks, which unrelated sets share, are left out.
-* Sets that share a block are candidates.  First every set is held against the
-  smallest of its block (a star), the links are contracted to components, and
-  only pairs from different components are then held against each other, so a
-  large group of near copies costs no quadratic number of pairs and no link
-  between components is lost.
-* A candidate pair passes the size bound, then the Hamming distance of a dense
-  sketch, then the exact intersection of the shingle sets.
+* Sets that share a block are candidates.  In a few star rounds every set is held
+  against one pivot, the first of a seeded order among the sets of its blocks that
+  lie in other components, and links are contracted to components.  Then all
+  remaining pairs that share a block across components are candidates.  So a large
+  group of near copies costs no quadratic number of pairs, and no link between
+  components is lost.
+* A candidate pair passes the size bound and the Hamming distance of dense
+  sketches (both inside the join), then the exact intersection of the sets.
 
 Equal sets are one class from the start.  Texts are read twice by scans and are
 not shuffled; what is shuffled is 16 bytes per kept block, and the shingle sets
@@ -40,8 +41,9 @@ from .shared import small_side, written
 
 SET_SCHEMA = "doc_id long, n_shingles long, set_id long, set_check long"
 BLOCK_SCHEMA = "block long, set_id long"
-SHINGLES_SCHEMA = "set_id long, n long, sketch binary, shingles binary"
-SKETCH_BITS = 2048
+SHINGLES_SCHEMA = "set_id long, n long, sketch array<long>, shingles binary"
+SKETCH_WORDS = 16
+STAR_ROUNDS = 3
 #: Candidate rows up to which their ids are broadcast (8 bytes each).
 BROADCAST_ROWS = 1_000_000
 BAND = 1.5625
@@ -139,9 +141,10 @@ class Bands:
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def parity_sketch(shingles: np.ndarray) -> bytes:
-    odd = np.bincount((shingles % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """``SKETCH_WORDS`` words of parity bits."""
+    odd = np.bincount((shingles % np.uint64(64 * SKETCH_WORDS)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _batch(schema: list[tuple[str, pa.DataType]], columns) -> pa.RecordBatch:
@@ -193,7 +196,7 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     wanted_ids = small_side(wanted.select(F.col("doc_id").alias("_want")), BROADCAST_ROWS)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     texts = texts.join(wanted_ids, F.col("doc_id").eqNullSafe(F.col("_want")), "left_semi")
-    schema = [("set_id", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("shingles", pa.binary())]
+    schema = [("set_id", pa.int64()), ("n", pa.int64()), ("sketch", pa.list_(pa.int64())), ("shingles", pa.binary())]
 
     def run(batches):
         for batch in batches:
@@ -202,33 +205,36 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 if sets:
                     yield _batch(schema, ([set_keys(s)[0] for s in sets], [len(s) for s in sets], [parity_sketch(s) for s in sets], [s.tobytes() for s in sets]))
 
-    return texts.mapInArrow(run, SHINGLES_SCHEMA).dropDuplicates(["set_id"])
+    sets = written(texts.mapInArrow(run, SHINGLES_SCHEMA), "shingle-sets")
+    if sets.groupBy("set_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():  # rows that repeat a doc_id
+        sets = written(sets.dropDuplicates(["set_id"]), "shingle-sets")
+    return sets
+
+
+def may_link(a: str, b: str, percent: int):
+    """Size bound and Hamming bound of two rows with columns n and sketch."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    differ = sum(F.bit_count(F.get(f"{a}.sketch", i).bitwiseXOR(F.get(f"{b}.sketch", i))) for i in range(SKETCH_WORDS))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (differ * (100 + percent) <= (n + m) * (100 - percent))
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int = 80) -> DataFrame:
     """Those pairs (x, y) of set ids whose sets link."""
-    left = sets.select(F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("kx"), F.col("shingles").alias("sx"))
-    right = sets.select(F.col("set_id").alias("y"), F.col("n").alias("ny"), F.col("sketch").alias("ky"), F.col("shingles").alias("sy"))
-    sizes = sets.select("set_id", "n")
-    pairs = (pairs.join(sizes.toDF("x", "nx"), "x").join(sizes.toDF("y", "ny"), "y")
-             .where(F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent).select("x", "y"))
-    both = pairs.join(left, "x").join(right, "y").select("x", "y", "kx", "ky", "sx", "sy")
-    bands = Bands(percent)
+    brief = sets.select("set_id", "n", "sketch")
+    near = (pairs.alias("p").join(brief.alias("a"), F.col("p.x") == F.col("a.set_id"))
+            .join(brief.alias("b"), (F.col("p.y") == F.col("b.set_id")) & may_link("a", "b", percent)).select("p.x", "p.y"))
+    left = sets.select(F.col("set_id").alias("x"), F.col("shingles").alias("sx"))
+    right = sets.select(F.col("set_id").alias("y"), F.col("shingles").alias("sy"))
+    both = near.join(left, "x").join(right, "y").select("x", "y", "sx", "sy")
 
     def run(batches):
         for batch in batches:
             found = []
-            last, sx = None, None
-            for x, y, kx, ky, bx, by in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                total = (len(bx) + len(by)) // 8
-                if (int.from_bytes(kx, "big") ^ int.from_bytes(ky, "big")).bit_count() > bands.differ(total):
-                    continue
-                if x != last:
-                    last, sx = x, np.frombuffer(bx, np.uint64)
-                sy = np.frombuffer(by, np.uint64)
-                both = len(np.intersect1d(sx, sy, assume_unique=True))
-                if 100 * both >= percent * (total - both):
-                    found.append((x, y))
+            for x, y, a, b in zip(*batch.columns, strict=True):
+                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * common >= percent * (len(a) + len(b) - common):
+                    found.append((x.as_py(), y.as_py()))
             if found:
                 yield _batch([("x", pa.int64()), ("y", pa.int64())], zip(*found, strict=True))
 
@@ -240,26 +246,29 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Data
     by_block = Window.partitionBy("block")
     shared = (sketch_blocks(docs, width, percent)
               .select("block", "set_id", F.min("set_id").over(by_block).alias("least"), F.max("set_id").over(by_block).alias("most"))
-              .where("least != most").select("block", "set_id", "least").distinct())
+              .where("least != most").select("block", "set_id").distinct())
     shared = written(shared, "shared-blocks")
     wanted = shared.select("set_id").distinct().join(classes.select("set_id", F.col("rep").alias("doc_id")), "set_id")
-    sets = written(_shingles_of(docs, wanted, width), "shingle-sets")
-    star = shared.where("set_id != least").select(F.col("least").alias("x"), F.col("set_id").alias("y")).distinct()
-    first = written(verify(star, sets, percent), "star-links")
-    parts = components(first, "x", "y")
-    placed = (shared.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left")
-              .select("block", "set_id", F.coalesce("component", "set_id").alias("part")))
-    mixed = Window.partitionBy("block")
-    placed = (placed.select("*", F.min("part").over(mixed).alias("low"), F.max("part").over(mixed).alias("high"))
-              .where("low != high").select("block", "set_id", "part")
-              .join(sets.select("set_id", "n"), "set_id"))
-    a, b = placed.toDF("set_id", "block", "part", "n").alias("a"), placed.toDF("set_id", "block", "part", "n").alias("b")
-    across = (a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.part") != F.col("b.part"))
-                     & (F.col("a.set_id") < F.col("b.set_id"))
-                     & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent))
-              .select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct())
-    second = written(verify(across, sets, percent), "cross-links")
-    return first.unionByName(second)
+    sets = _shingles_of(docs, wanted, width)
+    found = None
+    placed = shared.withColumn("part", F.col("set_id"))
+    for turn in range(STAR_ROUNDS):
+        first = F.min(F.struct(F.xxhash64("part", F.lit(turn)).alias("order"), "part", F.xxhash64("set_id", F.lit(turn)).alias("nth"), F.col("set_id").alias("x"))).over(by_block)
+        star = (placed.select("set_id", "part", first.alias("pivot")).where("part != pivot.part")
+                .groupBy(F.col("set_id").alias("y")).agg(F.min("pivot").alias("pivot")).select("pivot.x", "y"))
+        new = written(verify(star, sets, percent), "star-links")
+        found = new if found is None else written(found.unionByName(new), "star-links")
+        if not new.limit(1).count():
+            break
+        parts = components(found, "x", "y").withColumnRenamed("node", "set_id")
+        mixed = (shared.join(parts, "set_id", "left").select("block", "set_id", F.coalesce("component", "set_id").alias("part"))
+                 .select("*", F.min("part").over(by_block).alias("low"), F.max("part").over(by_block).alias("high")))
+        placed = written(mixed.where("low != high").select("block", "set_id", "part"), "mixed-blocks")
+    rows = placed.join(sets.select("set_id", "n", "sketch"), "set_id")
+    a, b = rows.alias("a"), rows.alias("b")
+    across = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.part") < F.col("b.part")) & may_link("a", "b", percent))
+    across = across.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct()
+    return found.unionByName(written(verify(across, sets, percent), "cross-links"))
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import line_rules, quality
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
+from .oracles import ORACLES
 from .packing import pack_documents
 from .pieces import sample_pieces
 from .secrets import scan_secrets
@@ -60,4 +61,5 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_classifier, op3_url_filter, op4_secret_scan, op5_html_wrappers, op6_line_rules,
     op7_sampled_pieces, op8_best_fit_packing, op9_sampled_splitters, op10_ngram_jaccard_join)}
-ORACLES: dict[str, str] = {"op6_line_rules": line_rules.ORACLE_SQL}
+
+__all__ = ["ORACLES", "QUERIES"]

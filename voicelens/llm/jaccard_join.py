@@ -11,12 +11,13 @@ blocks than that, some blocks are equal (pigeonhole).
   holds the sets of the band and those sets of the next band which may link
   with it.  A block is wide and sparse, so it is stored as the XOR of the mixed
   positions of its bits: equal blocks give equal values.
-* A set keeps d + 1 of its blocks, the fullest first (an order that depends on
-  the block alone).  By the prefix argument two linked sets still share a kept
-  block, and empty or thin blocks, which unrelated sets share, are left out.
+* A set keeps d + 1 of its blocks, the rarest first: blocks that no other set has,
+  then shared ones by the number of sets that have them, empty ones last.  By the
+  prefix argument two linked sets still share a kept block, and the blocks of
+  passages that many unrelated documents hold drop out.
 * Sets that share a block are candidates.  In a few star rounds every set is held
-  against one pivot, the first of a seeded order among the sets of its blocks that
-  lie in other components, and links are contracted to components.  Then all
+  against one pivot from the largest other component in its blocks, drawn by a
+  seeded order, and links are contracted to components.  Then all
   remaining pairs that share a block across components are candidates.  So a large
   group of near copies costs no quadratic number of pairs, and no link between
   components is lost.
@@ -24,7 +25,7 @@ blocks than that, some blocks are equal (pigeonhole).
   sketches (both inside the join), then the exact intersection of the sets.
 
 Equal sets are one class from the start.  Texts are read twice by scans and are
-not shuffled; what is shuffled is 16 bytes per kept block, and the shingle sets
+not shuffled; what is shuffled is 16 bytes per block, and the shingle sets
 of candidates.
 """
 
@@ -39,11 +40,11 @@ from pyspark.sql import functions as F
 from .components import components
 from .shared import small_side, written
 
-SET_SCHEMA = "doc_id long, n_shingles long, set_id long, set_check long"
+SET_SCHEMA = "doc_id long, n_shingles long, set_id long, set_check long, side int, own_blocks int, own_keep int, low_blocks int, low_keep int"
 BLOCK_SCHEMA = "block long, set_id long"
 SHINGLES_SCHEMA = "set_id long, n long, sketch array<long>, shingles binary"
 SKETCH_WORDS = 16
-STAR_ROUNDS = 3
+STAR_ROUNDS = 4
 #: Candidate rows up to which their ids are broadcast (8 bytes each).
 BROADCAST_ROWS = 1_000_000
 BAND = 1.5625
@@ -120,24 +121,38 @@ class Bands:
             partner = min(n * 100 // self.percent, last * 100 // self.percent) if space == band else last
             yield space, most + 1 + max(16, last // 16), self.differ(n + partner) + 1
 
+    def places(self, shingles: np.ndarray):
+        """(space, blocks, keep, block of each shingle) for each space of a set."""
+        for space, blocks, keep in self.spaces(len(shingles)):
+            yield space, blocks, keep, ((shingles >> np.uint64(20)) % np.uint64(blocks)).astype(np.uint16 if blocks < 1 << 16 else np.int64)
+
+    def extent(self, shingles: np.ndarray) -> tuple[int, int, int, int, int]:
+        """Parity of the set's own space; blocks that it shows and keeps in its own space and in the one below."""
+        out = {}
+        for space, blocks, keep, at in self.places(shingles):
+            full = int((np.bincount(at, minlength=blocks) > 0).sum())
+            out[space] = (full if full >= keep else blocks, keep)
+        spaces = sorted(out, reverse=True)
+        band = int(np.searchsorted(self.edges, len(shingles), side="right")) - 1
+        return (band & 1, *out.get(band, (0, 0)), *(out[spaces[-1]] if spaces[-1] != band else (0, 0)))
+
     def blocks(self, shingles: np.ndarray) -> np.ndarray:
-        """Keys of the kept blocks of a set, over its spaces."""
+        """Keys of the blocks that a set shows: bit 0 is the parity of the space, bit 1 tells an empty block.
+
+        Empty blocks are shown only if the others are too few to keep.
+        """
         out = []
         bits = mix(shingles + np.uint64(0x9E3779B97F4A7C15))
-        for space, blocks, keep in self.spaces(len(shingles)):
-            at = (shingles >> np.uint64(20)) % np.uint64(blocks)
-            order = np.argsort(at)
+        for space, blocks, keep, at in self.places(shingles):
+            order = np.argsort(at, kind="stable")
             at, value = at[order], bits[order]
             first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            value = np.bitwise_xor.reduceat(value, first)
-            count = np.diff(np.r_[first, len(at)])
-            at = at[first]
-            if len(at) < keep:                                  # then some empty blocks count as well
+            at, value = at[first].astype(np.uint64), np.bitwise_xor.reduceat(value, first)
+            key = mix(value ^ mix(at + np.uint64(space * 1_000_003 + 1))) & ~np.uint64(3)
+            if len(at) < keep:
                 empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), at)
-                at = np.r_[at, empty]
-                value, count = np.r_[value, np.zeros(len(empty), np.uint64)], np.r_[count, np.zeros(len(empty), np.int64)]
-            kept = np.lexsort((at, -count))[:keep]
-            out.append(mix(value[kept] ^ mix(at[kept] + np.uint64(space * 1_000_003 + 1))))
+                key = np.r_[key, mix(mix(empty + np.uint64(space * 1_000_003 + 1))) & ~np.uint64(3) | np.uint64(2)]
+            out.append(key | np.uint64(space & 1))
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -151,21 +166,26 @@ def _batch(schema: list[tuple[str, pa.DataType]], columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema, strict=True)], names=[n for n, _ in schema])
 
 
-def shingle_sets(docs: DataFrame, width: int = 5) -> DataFrame:
-    """Size and digests of each document's shingle set."""
+def shingle_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Size, digests and block counts of each document's shingle set."""
+    bands = Bands(percent)
     schema = [(n, pa.int64()) for n in ("doc_id", "n_shingles", "set_id", "set_check")]
+    schema += [(n, pa.int32()) for n in ("side", "own_blocks", "own_keep", "low_blocks", "low_keep")]
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t.as_py(), width) for t in batch.column(1)]
-            keys = [set_keys(s) for s in sets]
-            yield _batch(schema, (batch.column(0), [len(s) for s in sets], [k[0] for k in keys], [k[1] for k in keys]))
+            rows = []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                s = shingle_set(text.as_py(), width)
+                rows.append((doc, len(s), *set_keys(s), *(bands.extent(s) if len(s) else (0,) * 5)))
+            if rows:
+                yield _batch(schema, zip(*rows, strict=True))
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SET_SCHEMA)
 
 
 def sketch_blocks(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Kept sketch blocks of each distinct shingle set of a task."""
+    """Sketch blocks of each distinct shingle set of a task."""
     bands = Bands(percent)
 
     def run(batches):
@@ -241,29 +261,44 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = 80) -> DataFrame:
     return both.mapInArrow(run, "x long, y long")
 
 
+def kept_blocks(blocks: DataFrame, classes: DataFrame) -> DataFrame:
+    """(block, set_id): shared blocks that belong to the d + 1 rarest of their set and space."""
+    by_block = Window.partitionBy("block")
+    shared = (blocks.select("block", "set_id", F.min("set_id").over(by_block).alias("least"), F.max("set_id").over(by_block).alias("most"), F.count("*").over(by_block).alias("sets"))
+              .where("least != most").groupBy("block", "set_id").agg(F.min("sets").alias("sets")))
+    side = F.col("block").bitwiseAND(1)
+    limits = classes.select("set_id", F.explode(F.array(
+        F.struct(F.col("side").cast("long").alias("side"), F.col("own_blocks").alias("shown"), F.col("own_keep").alias("keep")),
+        F.struct((1 - F.col("side")).cast("long").alias("side"), F.col("low_blocks").alias("shown"), F.col("low_keep").alias("keep")))).alias("l")).select("set_id", "l.*")
+    own = Window.partitionBy("set_id", "side")
+    ranked = (shared.withColumn("side", side).join(limits, ["set_id", "side"])
+              .select("block", "set_id", "shown", "keep", F.count("*").over(own).alias("common"),
+                      F.row_number().over(own.orderBy(F.col("block").bitwiseAND(2), "sets", "block")).alias("nth")))
+    return ranked.where("shown - common + nth <= keep").select("block", "set_id")
+
+
 def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified links (x, y) between set ids; their components are those of all linked pairs."""
     by_block = Window.partitionBy("block")
-    shared = (sketch_blocks(docs, width, percent)
-              .select("block", "set_id", F.min("set_id").over(by_block).alias("least"), F.max("set_id").over(by_block).alias("most"))
-              .where("least != most").select("block", "set_id").distinct())
-    shared = written(shared, "shared-blocks")
+    shared = written(kept_blocks(sketch_blocks(docs, width, percent), classes), "kept-blocks")
+    shared = written(shared.select("*", F.min("set_id").over(by_block).alias("least"), F.max("set_id").over(by_block).alias("most"))
+                     .where("least != most").select("block", "set_id"), "shared-blocks")
     wanted = shared.select("set_id").distinct().join(classes.select("set_id", F.col("rep").alias("doc_id")), "set_id")
     sets = _shingles_of(docs, wanted, width)
-    found = None
-    placed = shared.withColumn("part", F.col("set_id"))
+    found, placed = None, shared.select("*", F.col("set_id").alias("part"), F.lit(1).cast("long").alias("size"))
     for turn in range(STAR_ROUNDS):
-        first = F.min(F.struct(F.xxhash64("part", F.lit(turn)).alias("order"), "part", F.xxhash64("set_id", F.lit(turn)).alias("nth"), F.col("set_id").alias("x"))).over(by_block)
-        star = (placed.select("set_id", "part", first.alias("pivot")).where("part != pivot.part")
+        order = F.struct((-F.col("size")).alias("size"), F.xxhash64("part", F.lit(turn)).alias("by"), "part", F.xxhash64("set_id", F.lit(turn)).alias("nth"), F.col("set_id").alias("x"))
+        star = (placed.select("set_id", "part", F.min(order).over(by_block).alias("pivot")).where("part != pivot.part")
                 .groupBy(F.col("set_id").alias("y")).agg(F.min("pivot").alias("pivot")).select("pivot.x", "y"))
         new = written(verify(star, sets, percent), "star-links")
-        found = new if found is None else written(found.unionByName(new), "star-links")
-        if not new.limit(1).count():
+        if turn and not new.limit(1).count():
             break
-        parts = components(found, "x", "y").withColumnRenamed("node", "set_id")
-        mixed = (shared.join(parts, "set_id", "left").select("block", "set_id", F.coalesce("component", "set_id").alias("part"))
+        found = new if found is None else written(found.unionByName(new), "star-links")
+        parts = components(found, "x", "y")
+        parts = parts.join(parts.groupBy("component").agg(F.count("*").alias("size")), "component").withColumnRenamed("node", "set_id")
+        mixed = (shared.join(parts, "set_id", "left").select("block", "set_id", F.coalesce("component", "set_id").alias("part"), F.coalesce("size", F.lit(1)).alias("size"))
                  .select("*", F.min("part").over(by_block).alias("low"), F.max("part").over(by_block).alias("high")))
-        placed = written(mixed.where("low != high").select("block", "set_id", "part"), "mixed-blocks")
+        placed = written(mixed.where("low != high").select("block", "set_id", "part", "size"), "mixed-blocks")
     rows = placed.join(sets.select("set_id", "n", "sketch"), "set_id")
     a, b = rows.alias("a"), rows.alias("b")
     across = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.part") < F.col("b.part")) & may_link("a", "b", percent))
@@ -281,8 +316,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     are null; rows with repeated doc_id are documents of their own.  An empty
     table gives no rows.
     """
-    sets = written(shingle_sets(docs, width), "set-keys")
-    classes = written(sets.where("n_shingles > 0").groupBy("n_shingles", "set_id", "set_check").agg(F.min("doc_id").alias("rep")), "set-classes")
+    sets = written(shingle_sets(docs, width, percent), "set-keys")
+    extent = [F.max(c).alias(c) for c in ("side", "own_blocks", "own_keep", "low_blocks", "low_keep")]  # equal for equal sets
+    classes = written(sets.where("n_shingles > 0").groupBy("n_shingles", "set_id", "set_check").agg(F.min("doc_id").alias("rep"), *extent), "set-classes")
     parts = components(links(docs, classes, width, percent), "x", "y")
     named = classes.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -19,23 +19,36 @@ from voicelens.llm import exact_dedup, jaccard_join, packing, quality, secrets
 from voicelens.llm.shared import table, written
 
 
+#: Rows of an Arrow batch: whole texts of a few thousand characters, so a batch has some 10 MB.
+ARROW_ROWS = 2000
+
+
+def _session(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _session(spark)
     return quality.kept_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _session(spark)
     return exact_dedup.kept_documents(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _session(spark)
     return jaccard_join.kept_documents(docs, width=5, percent=80)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _session(spark)
     return secrets.mask_secrets(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _session(spark)
     return packing.pack_documents(docs, max_tokens=2048)
 
 

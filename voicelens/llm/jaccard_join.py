@@ -48,7 +48,7 @@ STAR_ROUNDS = 4
 #: Candidate rows up to which their ids are broadcast (8 bytes each).
 BROADCAST_ROWS = 1_000_000
 BAND = 1.5625
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
 
 
 class WordHashes(dict):

@@ -36,7 +36,7 @@ MAX_LABELS = 20_000
 GRADES = 3
 #: Characters of a word's stem feature, and documents of the sample that must show a feature for it to count.
 STEM, MIN_SEEN = 5, 5
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
 SYMBOLS = "#*$%&|<>!?~^=+@{}[]\\_"
 
 
@@ -157,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> M
 
     def run(_, frame):
         frame = frame.assign(order=[zlib.crc32(str(d).encode()) for d in frame["doc_id"]]).sort_values(["order", "doc_id"])
-        model = fit([(at.astype(np.int64), int(g)) for at, g in zip(frame["at"], frame["grade"], strict=True)])
+        model = fit([(np.asarray(at, np.int32), int(g)) for at, g in zip(frame["at"], frame["grade"], strict=True)])
         return pd.DataFrame({"weights": [model.weights.astype(np.float32).tobytes()], "rarity": [model.rarity.astype(np.float32).tobytes()], "thresholds": [model.thresholds.tobytes()]})
 
     found = rows.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(run, "weights binary, rarity binary, thresholds binary").collect()  # one model

@@ -33,6 +33,21 @@ def test_page_without_landmark_loses_template_and_menu(spark):
     assert {r.page_id: r.text for r in got} == {i: f"Own text {i} and more {i * 7}" for i in range(6)}
 
 
+def test_copies_of_a_page_are_not_its_template(spark):
+    page = "<body><div class='nav'>Menu</div><div><h1>Head {0}</h1><p>Own text {0}</p></div><div class='ad'>Buy {1}</div>{2}<div>Foot</div></body>"
+    alone = [(f"http://copies.org/?utm={i}", page.format("one", i, "")) for i in range(3)]
+    none = [(None, page.format("two", 0, "")) for _ in range(1000)]
+    marked = [(f"http://marks.org/{i}", page.format("three", 0, "").replace("<h1>", f"<h1 class='c{'abcd'[i]}'>")) for i in range(4)]
+    mixed = [(f"http://mixed.org/{i}", page.format(i, 0, "")) for i in range(20)] + [("http://mixed.org/x", page.format("x", 0, "<p>A note</p>"))] * 5
+    got = {r.page_id: r.text for r in W.extract(rows(spark, alone + none + marked + mixed)).collect()}
+    n = len(alone) + len(none)
+    assert {got[i] for i in range(3)} == {"Head one Own text one Foot"}
+    assert {got[i] for i in range(3, n)} == {"Head two Own text two Foot"}
+    assert {got[i] for i in range(n, n + 4)} == {"Head three Own text three Foot"}
+    assert [got[n + 4 + i] for i in range(20)] == [f"Head {i} Own text {i}" for i in range(20)]
+    assert {got[i] for i in range(n + 24, n + 29)} == {"Head x Own text x A note"}
+
+
 def test_edges(spark):
     pages = [(None, None), ("", ""), ("no url", "just text"), ("http://x.org/", "<p>open <!-- never closed"), ("http://x.org/", "a < b <notag attr='>' x>y</notag> &amp &am"),
              ("http://x.org/", "<script>lost"), ("http://x.org/", "<p>word " * 30_000)]

@@ -10,8 +10,9 @@ wrapper, a union-free expression of tags, slots, optional and repeated groups.
 Every text slot of a skeleton falls to a slot of the wrapper.  A slot is kept
 unless it lies in a landmark of navigation, advertising, forms, notices or
 comments; on pages with a main landmark (article, main) only its slots count; on
-others a slot is dropped when it is the same text on all pages of the host
-(template text) or when its repeated group holds links alone (a menu).
+others a slot is dropped when it is the same text on all pages of the host, of
+which three or more differ elsewhere (template text: copies of one page are one
+page), or when its repeated group holds links alone (a menu).
 
 Scale: pages reduce to distinct (host, skeleton) pairs with partial
 aggregation; wrappers are folded in salted groups of bounded size, level by
@@ -57,6 +58,9 @@ FOLD = 200
 MAX_NODES = 4000
 BROADCAST_MASKS = 100_000
 JOIN_SALTS = 16
+MEMO_SKELETONS = 2000
+#: Pages of different content that must share a slot's text for it to be template text; the counting is exact up to three.
+TEMPLATE_PAGES = 3
 
 
 def stream(page: str | None) -> tuple[list[str], list[str]]:
@@ -255,20 +259,28 @@ def skeleton_id(skeleton: str) -> int:
 
 
 def page_skeletons(pages: DataFrame) -> DataFrame:
-    """(host, skeleton_id, skeleton, hashes): per page, with a hash of the text in each slot."""
+    """(host, skeleton_id, skeleton, hashes, content): per page, with a hash of the text in each slot, and one of all text outside side landmarks."""
     def run(batches):
+        sides: dict[str, list[bool]] = {}
         for batch in batches:
             rows = []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 skeleton, texts, nodes = skeleton_of(page.as_py())
                 hashes = [xxhash.xxh64_intdigest(" ".join(texts[i] for i in slot)) - (1 << 63) for _, slots in nodes for slot in slots]
-                rows.append((host, skeleton_id(skeleton), skeleton, hashes))
+                if skeleton not in sides:
+                    if len(sides) >= MEMO_SKELETONS:
+                        sides.clear()
+                    sides[skeleton] = [side for side, _, _ in landmarks([x for x, _ in nodes])]
+                slots = [slot for _, own in nodes for slot in own]
+                own = sorted(i for slot, side in zip(slots, sides[skeleton], strict=True) if not side for i in slot)
+                content = xxhash.xxh64_intdigest("\n".join(texts[i] for i in own)) - (1 << 63)
+                rows.append((host, skeleton_id(skeleton), skeleton, hashes, content))
             if rows:
-                types = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["host", "skeleton_id", "skeleton", "hashes"])
+                types = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["host", "skeleton_id", "skeleton", "hashes", "content"])
 
     return (pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string"))
-            .mapInArrow(run, "host string, skeleton_id long, skeleton string, hashes array<long>"))
+            .mapInArrow(run, "host string, skeleton_id long, skeleton string, hashes array<long>, content long"))
 
 
 def infer_wrappers(skeletons: DataFrame) -> DataFrame:
@@ -317,10 +329,15 @@ def slot_masks(pages: DataFrame) -> DataFrame:
     skeletons = written(seen.groupBy("host", "skeleton_id").agg(F.min("skeleton").alias("skeleton")), "distinct-skeletons")
     places = written(slot_places(skeletons, infer_wrappers(skeletons)), "slot-places")
     texts = (seen.select("host", "skeleton_id", F.posexplode("hashes").alias("slot", "hash"))
-             .groupBy("host", "skeleton_id", "slot").agg(F.min("hash").alias("low"), F.max("hash").alias("high"), F.count("*").alias("n")))
+             .groupBy("host", "skeleton_id", "slot").agg(F.min("hash").alias("low"), F.max("hash").alias("high")))
+    # distinct contents of a skeleton: their number, and two of them, which are all unless there are three or more
+    contents = (seen.select("host", "skeleton_id", "content").distinct().groupBy("host", "skeleton_id")
+                .agg(F.count("*").alias("n"), F.min("content").alias("first"), F.max("content").alias("last")))
     slots = places.join(texts, ["host", "skeleton_id", "slot"])
-    fixed = (slots.where("node >= 0").groupBy("host", "node", "inner")
-             .agg((F.min("low") == F.max("high")).alias("same"), F.sum("n").alias("pages")).where("same and pages >= 3").drop("same", "pages"))
+    fixed = (slots.where("node >= 0").join(contents, ["host", "skeleton_id"])
+             .withColumn("content", F.explode(F.array_distinct(F.array("first", "last")))).groupBy("host", "node", "inner")
+             .agg((F.min("low") == F.max("high")).alias("same"), F.max("n").alias("n"), F.count_distinct("content").alias("contents"))
+             .where(f"same and (n >= {TEMPLATE_PAGES} or contents >= {TEMPLATE_PAGES})").select("host", "node", "inner"))
     slots = slots.join(fixed.withColumn("fixed", F.lit(True)), ["host", "node", "inner"], "left")
     page = slots.groupBy("host", "skeleton_id").agg(F.max(F.col("main") & ~F.col("side")).alias("landmark"),
                                                     F.collect_list(F.struct("slot", "main", "side", (F.coalesce("fixed", F.lit(False)) | F.col("menu")).alias("fixed"))).alias("slots"))

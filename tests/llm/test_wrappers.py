@@ -2,6 +2,8 @@ import json
 import re
 from html import unescape
 
+import pytest
+
 from voicelens.llm import wrappers as W
 
 SCHEMA = "page_id long, url string, html string, text string, host string"
@@ -48,6 +50,43 @@ def test_copies_of_a_page_are_not_its_template(spark):
     assert {got[i] for i in range(n + 24, n + 29)} == {"Head x Own text x A note"}
 
 
+ARTICLE = "<article><h1>Head</h1><p>Own text</p></article>"
+
+
+@pytest.mark.parametrize("wrapped", [
+    "<div class='layout with-sidebar'>{}</div>", "<div class='post comments-open'>{}</div>", "<div id='search-results-main'>{}</div>", "<section class='social-story'>{}</section>",
+    "<div class='hasSidebar'>{}</div>", "<div class='overflow-hidden'>{}</div>", "<div class='sidebar'><div class='widget'>{}</div></div>", "<main class='search'><div>{}</div></main>",
+    "<div class='comments'><main>{}</main></div>", "<div class='share'>{}</div>", "<div class='related'>{}</div>"])
+def test_side_words_do_not_hide_an_article(wrapped):
+    page = "<body><nav>Menu</nav>" + wrapped.format(ARTICLE + "<aside>aside</aside>") + "<footer>foot</footer></body>"
+    assert W.main_text(page, None) == "Head Own text"
+
+
+@pytest.mark.parametrize("name", ["post comments-open", "social", "layout with-sidebar", "post share", "search-results-main", "no-comments", "comment", "social-story"])
+def test_side_words_of_an_article_itself(name):
+    assert W.main_text(f"<div>{ARTICLE.replace('article', f'article class="{name}"', 1)}<aside>x</aside></div>", None) == "Head Own text"
+
+
+@pytest.mark.parametrize("other", [
+    "<div class='comments'><article class='comment'>c</article></div>", "<section class='related'><article>c</article></section>", "<article class='teaser post'>c</article>",
+    "<div class='sidebar'><div class='widget'><article>c</article></div></div>", "<div class='site-footer'>c</div>", "<div class='comment-list'>c</div>", "<div id='mainNav'>c</div>",
+    "<aside><article>c</article></aside>", "<div class='sidebar-left'>c</div>", "<div class='related-post'>c</div>", "<div hidden>c</div>"])
+def test_landmarks_beside_and_in_an_article_go(other):
+    assert W.main_text(f"<body>{ARTICLE}{other}</body>", None) == "Head Own text"
+    inside = ARTICLE.replace("</article>", other + "</article>")
+    if "post" not in other:
+        assert W.main_text(f"<body>{inside}</body>", None) == "Head Own text"
+
+
+def test_comments_do_not_replace_text_without_article(spark):
+    page = "<body><div id=content><p>Own {0}</p></div><div class=comments><article>note {0}</article></div><main2></main2></body>"
+    got = W.extract(rows(spark, [(f"http://plain.org/{i}", page.format(i)) for i in range(4)])).collect()
+    assert all(f"Own {r.page_id}" in r.text for r in got)
+    site = "<div>Site</div><div class='layout with-sidebar'><article><p>Own {0}</p></article><div class='sidebar'>x</div></div>"
+    got = W.extract(rows(spark, [(f"http://site.org/{i}", site.format(i)) for i in range(4)])).collect()
+    assert [r.text for r in sorted(got)] == [f"Own {i}" for i in range(4)]
+
+
 def test_edges(spark):
     pages = [(None, None), ("", ""), ("no url", "just text"), ("http://x.org/", "<p>open <!-- never closed"), ("http://x.org/", "a < b <notag attr='>' x>y</notag> &amp &am"),
              ("http://x.org/", "<script>lost"), ("http://x.org/", "<p>word " * 30_000)]

@@ -9,7 +9,8 @@ wrapper, a union-free expression of tags, slots, optional and repeated groups.
 
 Every text slot of a skeleton falls to a slot of the wrapper.  A slot is kept
 unless it lies in a landmark of navigation, advertising, forms, notices or
-comments; on pages with a main landmark (article, main) only its slots count; on
+comments (tags, or words of class, id and role; the words do not mark what is or
+encloses the page's article or main, see ``landmarks``); on pages with a main landmark (article, main) only its slots count; on
 others a slot is dropped when it is the same text on all pages of the host, of
 which three or more differ elsewhere (template text: copies of one page are one
 page), or when its repeated group holds links alone (a menu).
@@ -50,6 +51,16 @@ SIDE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising al
     contentinfo cookie cookies copyright dialog disqus donate footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices overlay
     pager pagination paywall popup promo promotion recommended related replies reply search share sharing sidebar signup skip social sponsor sponsored
     subscribe teaser toolbar widget""".split())
+#: Beside these, or before those, a side word of a compound name only tells of the element (``with-sidebar``, ``comments-open``).
+BESIDE = frozenset("has no not overflow with without".split())
+BEFORE = frozenset("allowed closed disabled enabled layout off on open".split())
+#: Side words that are also subjects: before a main word (``search-results-main``, ``social-story``) they mark nothing.
+TOPICS = frozenset("alert copyright donate notice notices search social".split())
+SIDE_LIKE = SIDE_WORDS | {"header", "hidden"}
+#: Landmarks whose entries may be articles of their own: by comments, teasers and advertising; by side columns and menus.
+ENTRY_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising comment comments disqus promo promotion recommended related replies
+    reply sponsor sponsored teaser""".split())
+COLUMN_WORDS = frozenset("menu nav navbar navigation sidebar widget".split())
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_WORDS = frozenset(("article", "articlebody", "main", "post", "entry", "story"))
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -63,6 +74,18 @@ MEMO_SKELETONS = 2000
 TEMPLATE_PAGES = 3
 
 
+def mark_words(value: str) -> set[str]:
+    """Words of a class, id or role; side words of a name that only tells of them are left out."""
+    out = set()
+    for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
+        words = re.findall(r"[a-z]+", name)
+        found = SIDE_LIKE.intersection(words)
+        if found and (not BESIDE.isdisjoint(words) or words[-1] in BEFORE or (words[-1] in MAIN_WORDS and found <= TOPICS)):
+            words = [w for w in words if w not in found]
+        out.update(words)
+    return out
+
+
 def stream(page: str | None) -> tuple[list[str], list[str]]:
     """Symbols of a page's blocks, ``#`` for a text slot (``#a``: links alone), and the texts of the slots."""
     symbols, texts = [], []
@@ -106,7 +129,7 @@ def stream(page: str | None) -> tuple[list[str], list[str]]:
         else:
             words = set()
             for kind, value, hidden in MARKS.findall(rest) if not closing and rest else ():
-                words.update(["hidden"] if hidden else re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+                words.update(["hidden"] if hidden else mark_words(value.strip("\"'")))
             block = name not in INLINE or "hidden" in words or not SIDE_WORDS.isdisjoint(words)
             if block:
                 end_text()
@@ -218,15 +241,28 @@ def fold(skeletons: list[str]) -> str | None:
 
 
 def landmarks(names: list) -> list[tuple[bool, bool, bool]]:
-    """(in a side landmark, in a main landmark, links of a repeated group) of each text slot, in order."""
+    """(in a side landmark, in a main landmark, links of a repeated group) of each text slot, in order.
+
+    Tags and ``hidden`` mark what they enclose.  Side words yield to a ``main``
+    that they name or enclose, and to an ``article``, unless they speak of entries
+    (comments, teasers) while other main text stands outside them, or of a side
+    column while another article does.
+    """
     out, stack = [], []
 
+    def place(link):
+        articles, inner = [i for i, x in enumerate(stack) if x[0] == "article"], max((i for i, x in enumerate(stack) if x[0] == "main"), default=-1)
+        outer = articles[0] if articles else inner
+        soft = [(i, x[3]) for i, x in enumerate(stack) if x[3] and i > inner]
+        side = any(x[1] for x in stack) or any(i > outer for i, _ in soft)
+        out.append((side, any(x[2] for x in stack), link, max((k for _, k in soft), default=0), bool(articles)))
+
     def walk(items, repeated):
         for s in items:
             if isinstance(s, tuple):
                 walk(s[1:], True)
             elif s[0] == "#":
-                out.append((any(x[1] for x in stack), any(x[2] for x in stack), repeated and s == "#a"))
+                place(repeated and s == "#a")
             elif s[0] == "/":
                 name = s[1:].split("|")[0]
                 if any(x[0] == name for x in stack):
@@ -240,11 +276,25 @@ def landmarks(names: list) -> list[tuple[bool, bool, bool]]:
                 if stack and stack[-1][0] in CLOSES.get(name, ()):
                     stack.pop()
                 main = any(x[2] for x in stack)
-                side = name in SIDE_TAGS or (name == "header" and not main) or "hidden" in words or not SIDE_WORDS.isdisjoint(words) or ("header" in words and not main)
-                stack.append((name, side and name not in ("html", "body"), name in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)))
+                own = name in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)
+                hard = name in SIDE_TAGS or (name == "header" and not main) or "hidden" in words
+                soft = 0    # strength of the side words: 3 entries, 2 side column, 1 others
+                if not SIDE_WORDS.isdisjoint(words) or ("header" in words and not main):
+                    soft = 3 if not ENTRY_WORDS.isdisjoint(words) else 2 if not COLUMN_WORDS.isdisjoint(words) else 1
+                free = name in ("html", "body")
+                stack.append((name, hard and not free, own, 0 if free else soft))
 
     walk(names, False)
-    return out
+    found = any(main and not side and soft < 3 for side, main, _, soft, _ in out)
+    article = any(inside and not side and soft < 2 for side, _, _, soft, inside in out)
+    marks = []
+    for side, main, link, soft, _ in out:
+        if not side and soft == 3:          # entries: with other main text aside, else text like any other
+            side, main = found, False
+        elif not side and soft == 2:
+            side = article
+        marks.append((side, main, link))
+    return marks
 
 
 def skeleton_of(page: str | None) -> tuple[str, list[str], list[tuple]]:

@@ -122,3 +122,20 @@ def test_one_wrapper_per_host(spark, monkeypatch):
     seen = W.page_skeletons(rows(spark, pages)).select("host", "skeleton").distinct()
     found = W.infer_wrappers(seen).collect()
     assert len(found) == 1 and found[0].host == "big.com" and found[0].wrapper
+
+
+def test_oversized_host_has_a_wrapper_per_template(spark, monkeypatch):
+    monkeypatch.setattr(W, "MAX_NODES", 40)
+    monkeypatch.setattr(W, "FOLD", 5)
+    layout = "<body><x{0}>Same text of layout {0}</x{0}>" + "".join(f"<y{k}x{{0}}></y{k}x{{0}}>" for k in range(8)) + "<z{1}></z{1}><h1>Own {1}</h1></body>"
+    pages = [("http://big.com/", layout.format(k % 3, i)) for i, k in enumerate(range(24))]
+    card = "<body>" + "".join(f"<c{k}>card {k} {{0}}</c{k}>" for k in range(100)) + "<foot>Below all</foot></body>"  # larger than the bound alone
+    pages += [("http://big.com/list", card.format(i)) for i in range(3)]
+    pages += [("http://small.com/", f"<div>Top</div><p>Own {i}</p>" + "<h2>u</h2>" * i) for i in range(9)]
+    got = {r.page_id: r.text for r in W.extract(rows(spark, pages)).collect()}
+    assert all(got[i] == f"Own {i}" for i in range(24))
+    assert all(got[24 + i] == " ".join(f"card {k} {i}" for k in range(100)) for i in range(3))
+    assert all(got[27 + i].startswith(f"Own {i}") for i in range(9))
+    seen = W.page_skeletons(rows(spark, pages)).select("host", "skeleton").distinct()
+    wrappers, members = (x.collect() for x in W.template_clusters(seen))
+    assert len(members) == seen.count() and {(r.host, r.cluster) for r in members} == {(r.host, r.cluster) for r in wrappers}

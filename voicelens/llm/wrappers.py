@@ -6,6 +6,9 @@ skeletons of a host are aligned one after another: what matches stays required,
 a run that only one side has becomes an optional group, a unit that meets its own
 repeated group is taken into it, and texts are slots.  The result is the host's
 wrapper, a union-free expression of tags, slots, optional and repeated groups.
+Skeletons that no wrapper of ``MAX_NODES`` nodes can hold together form several
+template clusters of the host, with a wrapper each; template text is that of a
+cluster.
 
 Every text slot of a skeleton falls to a slot of the wrapper.  A slot is kept
 unless it lies in a landmark of navigation, advertising, forms, notices or
@@ -25,8 +28,8 @@ from __future__ import annotations
 
 import html
 import json
-import math
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -35,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import small_side, written
 from .urls import host_of
 
 TOKEN = re.compile(
@@ -67,6 +70,8 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 UNITS = 12
 FOLD = 200
 MAX_NODES = 4000
+CLUSTER_TRIES = 3
+BROADCAST_HOSTS = 100_000
 BROADCAST_MASKS = 100_000
 JOIN_SALTS = 16
 MEMO_SKELETONS = 2000
@@ -220,24 +225,45 @@ def align(wrapper: list[tuple], names: list) -> list[tuple]:
     return out
 
 
+def merged(whole: list[tuple], one: list[tuple]) -> list[tuple]:
+    """A wrapper that accepts what ``whole`` and ``one`` accept."""
+    out = align(whole, [x for x, _ in one])
+    maybe = {x for x, o in one if o}
+    return [(x, o or x in maybe) for x, o in out] if maybe else out
+
+
+def fold_clusters(skeletons: list[str], bound: int = MAX_NODES) -> list[tuple[str, list[int]]]:
+    """Wrappers of the given wrappers or skeletons (JSON), each with the numbers of those it holds.
+
+    A skeleton joins the cluster with the most nodes in common whose wrapper
+    stays within ``bound`` nodes; where there is none it starts a cluster.
+    """
+    clusters: list[tuple[list[tuple], list[int], Counter]] = []
+    for k, text in enumerate(skeletons):
+        one = [(frozen(x), o) for x, o in json.loads(text)]
+        nodes = Counter(x for x, _ in one)
+        common = [sum((nodes & c[2]).values()) for c in clusters]
+        tries = 0
+        for i in sorted(range(len(clusters)), key=lambda i: -common[i]):
+            # own nodes of both stay apart, but for runs that the other's repeated groups take in
+            if not any(isinstance(x, tuple) for x in nodes | clusters[i][2]) and len(clusters[i][0]) + len(one) - common[i] > bound:
+                continue
+            if len(clusters[i][0]) + len(one) > 4 * bound or tries == CLUSTER_TRIES:
+                continue
+            tries += 1
+            both = merged(clusters[i][0], one)
+            if len(both) <= bound:
+                clusters[i] = (both, [*clusters[i][1], k], Counter(x for x, _ in both))
+                break
+        else:
+            clusters.append((one, [k], nodes))
+    return [(json.dumps(whole, separators=(",", ":"), ensure_ascii=False), own) for whole, own, _ in clusters]
+
+
 def fold(skeletons: list[str]) -> str | None:
     """One wrapper of the given wrappers or skeletons (JSON); None when they have no common template of bounded size."""
-    whole: list[tuple] | None = None
-    for text in skeletons:
-        if text is None:
-            return None
-        one = [(frozen(x), o) for x, o in json.loads(text)]
-        if whole is None:
-            whole = one
-            continue
-        optional = {i for i, (_, o) in enumerate(one) if o}
-        whole = align(whole, [x for x, _ in one])
-        if optional:
-            maybe = {one[i][0] for i in optional}
-            whole = [(x, o or x in maybe) for x, o in whole]
-        if len(whole) > MAX_NODES:
-            return None
-    return json.dumps(whole, separators=(",", ":"), ensure_ascii=False)
+    found = fold_clusters(skeletons)
+    return found[0][0] if len(found) == 1 else None
 
 
 def landmarks(names: list) -> list[tuple[bool, bool, bool]]:
@@ -333,51 +359,82 @@ def page_skeletons(pages: DataFrame) -> DataFrame:
             .mapInArrow(run, "host string, skeleton_id long, skeleton string, hashes array<long>, content long"))
 
 
-def infer_wrappers(skeletons: DataFrame) -> DataFrame:
-    """(host, wrapper) from distinct (host, skeleton) rows, folded in salted groups until each host has one."""
+def template_clusters(skeletons: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, cluster, wrapper), and (host, skeleton, cluster) for distinct (host, skeleton) rows, whose ``skeleton`` is hashed.
+
+    Skeletons are folded in salted groups, level by level.  A host is done when
+    one group held all of it, which most often leaves one wrapper; the levels end
+    when no larger host loses a twentieth of its wrappers any more.
+    """
+    bound = MAX_NODES
+
     def run(key, frame):
-        return pd.DataFrame({"host": [key[0]], "wrapper": [fold(sorted(frame["wrapper"], key=lambda w: (w is not None, w or "")))]})
+        frame = frame.sort_values(["wrapper", "cluster"])
+        ids, rows = frame["cluster"].tolist(), []
+        for wrapper, own in fold_clusters(frame["wrapper"].tolist(), bound):
+            name = min(ids[k] for k in own)
+            rows += [(key[0], ids[k], name, wrapper if ids[k] == name else None) for k in own]
+        return pd.DataFrame(rows, columns=["host", "old", "cluster", "wrapper"])
+
+    left = skeletons.select("host", F.xxhash64("skeleton").alias("cluster"), F.col("skeleton").alias("wrapper"))
+    members = left.select("host", F.col("cluster").alias("skeleton"), "cluster")
+    sizes = written(left.groupBy("host").agg(F.count("*").alias("n")), "wrapper-sizes")
+    level = 0
+    while (sizes.agg(F.max("n")).first()[0] or 0) > 1:
+        large = small_side(sizes.where(F.col("n") > FOLD).withColumnRenamed("host", "h"), BROADCAST_HOSTS)
+        dealt = left.join(large, F.col("host") == F.col("h"), "left").drop("h")
+        salt = F.pmod(F.xxhash64("cluster", F.lit(level)), F.ceil(F.coalesce("n", F.lit(1)) / FOLD))
+        folded = written(dealt.groupBy("host", salt.alias("salt")).applyInPandas(run, "host string, old long, cluster long, wrapper string"), "wrappers")
+        left = folded.where("wrapper is not null").select("host", "cluster", "wrapper")
+        members = written(members.withColumnRenamed("cluster", "old").join(folded.select("host", "old", "cluster"), ["host", "old"]).drop("old"), "wrapper-members")
+        before, sizes = sizes, written(left.groupBy("host").agg(F.count("*").alias("n")), "wrapper-sizes")
+        fell = before.where(F.col("n") > FOLD).withColumnRenamed("n", "m").join(sizes, "host").where("n * 20 <= m * 19")
+        if fell.limit(1).count() == 0:
+            break
+        level += 1
+    return left, members
 
-    left = skeletons.select("host", F.col("skeleton").alias("wrapper"))
-    while True:
-        most = left.groupBy("host").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-        if most <= 1:
-            return left
-        salt = F.pmod(F.xxhash64("wrapper"), F.lit(math.ceil(most / FOLD)))
-        left = written(left.groupBy("host", salt.alias("salt")).applyInPandas(run, "host string, wrapper string"), "wrappers")
+
+def infer_wrappers(skeletons: DataFrame) -> DataFrame:
+    """(host, wrapper, cluster) from distinct (host, skeleton) rows; hosts have one wrapper unless it outgrows ``MAX_NODES``."""
+    return template_clusters(skeletons)[0].select("host", "wrapper", "cluster")
 
 
-def slot_places(skeletons: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """Each slot of each skeleton: its landmarks, and the slot of the host's wrapper to which it falls."""
+def slot_places(skeletons: DataFrame) -> DataFrame:
+    """Each slot of each skeleton: its landmarks, and the slot of its cluster's wrapper to which it falls."""
     def run(batches):
         for batch in batches:
             rows = []
-            for host, name, skeleton, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for host, name, skeleton, cluster, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 names = [frozen(x) for x, _ in json.loads(skeleton)]
                 marks = landmarks(names)
-                place = []
-                if wrapper is not None:
+                if skeleton == wrapper:
+                    place = list(range(len(names)))
+                else:
                     whole = [frozen(x) for x, _ in json.loads(wrapper)]
                     names = grouped(names, [x for x in whole if isinstance(x, tuple)])  # a unit alone falls to its group
                     place = [-1] * len(names)
                     for a, b, n in SequenceMatcher(None, whole, names, autojunk=False).get_matching_blocks():
                         place[b:b + n] = range(a, a + n)
-                nodes = [(at, inner) for x, at in zip(names, place or [-1] * len(names), strict=True) for inner in range(slots_in(x))]
-                rows += [(host, name, slot, at, inner, *mark) for slot, ((at, inner), mark) in enumerate(zip(nodes, marks, strict=True))]
+                nodes = [(at, inner) for x, at in zip(names, place, strict=True) for inner in range(slots_in(x))]
+                rows += [(host, name, slot, cluster, at, inner, *mark) for slot, ((at, inner), mark) in enumerate(zip(nodes, marks, strict=True))]
             if rows:
-                kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_()]
+                kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                                 names=["host", "skeleton_id", "slot", "node", "inner", "side", "main", "menu"])
+                                                 names=["host", "skeleton_id", "slot", "cluster", "node", "inner", "side", "main", "menu"])
 
-    joined = skeletons.join(wrappers, "host").select("host", "skeleton_id", "skeleton", "wrapper")
-    return joined.mapInArrow(run, "host string, skeleton_id long, slot int, node int, inner int, side boolean, main boolean, menu boolean")
+    wrappers, members = template_clusters(skeletons)
+    of_cluster = members.withColumnRenamed("skeleton", "hashed").join(wrappers, ["host", "cluster"])
+    joined = (skeletons.withColumn("hashed", F.xxhash64("skeleton")).join(of_cluster, ["host", "hashed"])
+              .select("host", "skeleton_id", "skeleton", "cluster", "wrapper"))
+    return joined.mapInArrow(run, "host string, skeleton_id long, slot int, cluster long, node int, inner int, side boolean, main boolean, menu boolean")
 
 
 def slot_masks(pages: DataFrame) -> DataFrame:
     """(host, skeleton_id, keep): the slots of each skeleton that hold main text."""
     seen = written(page_skeletons(pages), "skeletons")
     skeletons = written(seen.groupBy("host", "skeleton_id").agg(F.min("skeleton").alias("skeleton")), "distinct-skeletons")
-    places = written(slot_places(skeletons, infer_wrappers(skeletons)), "slot-places")
+    places = written(slot_places(skeletons), "slot-places")
     texts = (seen.select("host", "skeleton_id", F.posexplode("hashes").alias("slot", "hash"))
              .groupBy("host", "skeleton_id", "slot").agg(F.min("hash").alias("low"), F.max("hash").alias("high")))
     # distinct contents of a skeleton: their number, and two of them, which are all unless there are three or more
@@ -385,10 +442,10 @@ def slot_masks(pages: DataFrame) -> DataFrame:
                 .agg(F.count("*").alias("n"), F.min("content").alias("first"), F.max("content").alias("last")))
     slots = places.join(texts, ["host", "skeleton_id", "slot"])
     fixed = (slots.where("node >= 0").join(contents, ["host", "skeleton_id"])
-             .withColumn("content", F.explode(F.array_distinct(F.array("first", "last")))).groupBy("host", "node", "inner")
+             .withColumn("content", F.explode(F.array_distinct(F.array("first", "last")))).groupBy("host", "cluster", "node", "inner")
              .agg((F.min("low") == F.max("high")).alias("same"), F.max("n").alias("n"), F.count_distinct("content").alias("contents"))
-             .where(f"same and (n >= {TEMPLATE_PAGES} or contents >= {TEMPLATE_PAGES})").select("host", "node", "inner"))
-    slots = slots.join(fixed.withColumn("fixed", F.lit(True)), ["host", "node", "inner"], "left")
+             .where(f"same and (n >= {TEMPLATE_PAGES} or contents >= {TEMPLATE_PAGES})").select("host", "cluster", "node", "inner"))
+    slots = slots.join(fixed.withColumn("fixed", F.lit(True)), ["host", "cluster", "node", "inner"], "left")
     page = slots.groupBy("host", "skeleton_id").agg(F.max(F.col("main") & ~F.col("side")).alias("landmark"),
                                                     F.collect_list(F.struct("slot", "main", "side", (F.coalesce("fixed", F.lit(False)) | F.col("menu")).alias("fixed"))).alias("slots"))
     kept = F.filter("slots", lambda s: ~s["side"] & F.when(F.col("landmark"), s["main"]).otherwise(~s["fixed"]))

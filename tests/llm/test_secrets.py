@@ -1,4 +1,6 @@
+import base64
 import hashlib
+import random
 import re
 
 import pytest
@@ -35,6 +37,40 @@ def test_novelty_tells_keys_from_words():
     assert S.marginal_bytes("config_value_one", "config_value_one = 1") < S.marginal_bytes("q7Zk29xLmP4vT8sW", "config_value_one = 1")
 
 
+KEY = "q7Zk29xLmP4vT8sWc3Rb"
+
+
+@pytest.mark.parametrize("text", [
+    f"Authorization: Bearer {KEY}\nAuthorization: Bearer {KEY}\n", f"private {KEY}\n" * 40, f"auth {KEY} x\n{'word ' * 203}auth {KEY}\n", f"key {KEY} and key='{KEY}'"])
+def test_copies_of_a_key_are_all_found(text):
+    assert S.masked(text).count("[secret]") == text.count(KEY) and KEY not in S.masked(text)
+
+
+def test_copy_in_an_assignment_does_not_hide_a_key():
+    assert [s[1] for s in S.all_spans(f"password={KEY}\nBearer {KEY}")] == ["assign", "novel"]
+
+
+@pytest.mark.parametrize("text", [
+    f"key:\n  {KEY}\n", f"private_key: |\n      {KEY}\n", f'"credential":\n\n        "{KEY}"', f"{KEY} is the private key", f"{KEY}  # auth of the host", f"{KEY}\nabove is the key",
+    "the key " + "yBMWXaSCrUZoLgubbbPIayRn", "key: " + "zqxjvkwbpfgmhxcdtrnl"])
+def test_keys_after_lines_before_the_word_and_of_letters(text):
+    assert S.masked(text).count("[secret]") == 1
+
+
+def test_pem_bodies():
+    body = base64.encodebytes(random.Random(3).randbytes(1190)).decode().replace("\n", "")
+    for size in (64, 76):
+        lines = "\n".join(body[i:i + size] for i in range(0, len(body), size))
+        for head in ("", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"):
+            clean = S.masked(f"a\n-----BEGIN RSA PRIVATE KEY-----\n{head}{lines}\n-----END RSA PRIVATE KEY-----\nb")
+            assert not any(x in clean for x in lines.split("\n"))
+
+
+def test_words_near_sensitive_words_stay():
+    for words in ("key getInternationalizationManagerFactory", "auth Rechtsschutzversicherungen", "token\n  incomprehensibilities", "src/authentication/provider_base of the key"):
+        assert S.all_spans(words) == []
+
+
 def test_query_and_mask(spark):
     rows = [(1, "x password=abcdefgh99 y", "c"), (2, None, "c"), (3, "", "c"), (3, "", "c"), (4, "word " * 200_000, "c"), (None, "AKIA" + "A" * 16, "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")

@@ -1,8 +1,11 @@
 """Secret scan: fixed patterns, and novelty against a primed zstandard compressor.
 
 The base kinds are patterns.  The method adds the kind ``novel``: a string of
-letters and digits that follows a sensitive word on its line is compressed by
-zstandard primed with the code around it and with a dictionary of identifiers.
+letters and digits near a sensitive word (after it, also on the lines that follow,
+or before it, and on through the lines of a block) is compressed by zstandard
+primed with the code around it and with a dictionary of identifiers.  Other copies
+of the string are no part of that code, unless it reads as words, as paths and
+names do; letters alone are a candidate only if they do not read as words.
 Its marginal bytes (compressed size less that of an empty string under the same
 dictionary) tell what the surroundings do not explain: words, paths and names
 that occur nearby or among the identifiers compress, random keys do not.
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 
 import pandas as pd
 import pyarrow as pa
@@ -40,8 +44,20 @@ IDENTIFIERS = (
     "ABCDEFGHIJKLMNOPQRSTUVWXYZ 00000000-0000-0000-0000-000000000000 2024-01-01T00:00:00Z placeholder changeme your_key_here"
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-#: Characters after a sensitive word in which a candidate may begin, and of text around it that prime the compressor.
+#: Characters other than blanks after a sensitive word in which a candidate may begin, or before it, in which one may end;
+#: and characters of text around a candidate that prime the compressor.
 REACH, CONTEXT = 48, 1024
+AHEAD = re.compile(r"(?:\s{0,200}\S){0,%d}" % REACH)
+#: What may stand between the lines of a block of key material, and the head of a PEM block.
+BETWEEN_LINES = re.compile(r"""[\s"'`,+\\:|>.-]{1,200}""")
+PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----")
+PEM_TAIL = re.compile(r"\s+([A-Za-z0-9+/=]{1,15})\s+-----END")
+#: Pairs of letters that are frequent in words of English, German, French and Spanish; share of them from which a string reads as words.
+PAIRS = frozenset("""th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll
+    be ma si om ur ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po we na ul ni ts mo ow
+    pa im mi ai sh ir su id os iv ia am fi ci vi pl ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex ke ui fr oo ag cu ff bi do qu ap ue ei au eu sc ck ft
+    sp if cr gr br dr fa fu ga gi ob od ub uc ud um up va vo rm rd rn rv lt pp rr tt nn mm""".split())
+WORDLIKE = 0.55
 #: Marginal bytes per character from which a candidate is novel.
 NOVELTY = 0.85
 
@@ -53,6 +69,26 @@ def marginal_bytes(candidate: str, around: str, identifiers: str = IDENTIFIERS)
     return len(press.compress(candidate.encode())) - len(press.compress(b""))
 
 
+def reads_as_words(value: str) -> bool:
+    """Whether most neighbouring letters and digits of ``value`` are pairs that words have."""
+    pairs = [a + b for part in re.findall(r"[a-z0-9]+", value.lower()) for a, b in zip(part, part[1:], strict=False)]
+    return sum(p in PAIRS for p in pairs) >= WORDLIKE * max(1, len(pairs))
+
+
+def is_novel(text: str, start: int, end: int, identifiers: str = IDENTIFIERS) -> bool:
+    """Whether neither surroundings nor identifiers explain the candidate ``text[start:end]``."""
+    value = text[start:end]
+    words = reads_as_words(value)
+    if not any(c.isalpha() for c in value) or (words and not any(c.isdigit() for c in value)):
+        return False
+    before, after = text[max(0, start - CONTEXT):start], text[end:end + CONTEXT]
+    if not words:  # a copy, also one that the window's edge cuts, gives way to blank lines
+        blank, size = "\n" * len(value), len(value)
+        before = text[max(0, start - CONTEXT - size):start].replace(value, blank)[-CONTEXT:]
+        after = text[end:end + CONTEXT + size].replace(value, blank)[:CONTEXT]
+    return marginal_bytes(value, before + after, identifiers) >= NOVELTY * len(value)
+
+
 def base_spans(text: str, low: str | None = None) -> list[tuple[int, str, int]]:
     """(start, kind, end) of the base kinds; an assignment's span is its whole match."""
     low = text.lower() if low is None else low
@@ -71,21 +107,49 @@ def novel_spans(text: str, low: str, taken: list[tuple[int, str, int]], identifi
         if len(low) == len(text):
             return []
         low = "".join(c.lower() if c.isascii() else c for c in text)  # keeps positions where lower-casing changes lengths
-    found, done = [], 0
-    for word in SENSITIVE.finditer(low):
-        line_end = text.find("\n", word.end())
-        stop = min(word.end() + REACH, line_end if line_end >= 0 else len(text))
-        at = max(word.end(), done)
-        while (m := CANDIDATE.search(text, at)) and m.start() < stop:
-            at = done = m.end()
-            value = m[0]
-            if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-                continue
-            if any(s < m.end() and m.start() < e for s, _, e in taken):
-                continue
-            around = text[max(0, m.start() - CONTEXT):m.start()] + text[m.end():m.end() + CONTEXT]
-            if marginal_bytes(value, around, identifiers) >= NOVELTY * len(value):
-                found.append((m.start(), "novel", m.end()))
+    found, judged = [], {}
+
+    def judge(start, end):
+        """Whether the candidate is novel; each is decided once."""
+        if (start, end) not in judged:
+            judged[start, end] = not any(s < end and start < e for s, _, e in taken) and is_novel(text, start, end, identifiers)
+            if judged[start, end]:
+                found.append((start, "novel", end))
+        return judged[start, end]
+
+    def forward(at, stop):
+        """Candidates that begin before ``stop``, and the lines of a block that go on from a novel one; the end of the last."""
+        last, novel = at, False
+        while m := CANDIDATE.search(text, last):
+            if m.start() >= stop and not (novel and BETWEEN_LINES.fullmatch(text, last, m.start())):
+                break
+            last, novel = m.end(), judge(m.start(), m.end())
+        return last
+
+    done = 0
+    for head in PEM.finditer(text):
+        end = text.find("-----END", head.end())
+        if head.end() >= done and end >= 0:
+            before = len(found)
+            done = max(done, forward(head.end(), end))
+            tail = PEM_TAIL.match(text, done)
+            if tail and len(found) > before:   # the short last line of a body
+                found.append((tail.start(1), "novel", tail.end(1)))
+    done = 0
+    words = [(m.start(), m.end()) for m in SENSITIVE.finditer(low)]
+    for _, end in words:
+        done = max(done, forward(max(end, done), AHEAD.match(text, end).end()))
+    whole = [(m.start(), m.end()) for m in CANDIDATE.finditer(text)]
+    ends, seen = [e for _, e in whole], sorted(judged)
+    for start, _ in words:
+        back = text[max(0, start - 4 * CONTEXT):start][::-1]
+        reach = start - AHEAD.match(back).end()
+        for k in range(bisect_right(ends, start) - 1, -1, -1):
+            if ends[k] <= reach:
+                break
+            near = bisect_right(seen, (ends[k], -1)) - 1    # the last one judged that begins before its end
+            if near < 0 or seen[near][1] <= whole[k][0]:
+                judge(*whole[k])
     return found
 
 

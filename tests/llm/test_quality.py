@@ -23,6 +23,23 @@ def test_held_out_accuracy(spark, tables):
     assert (scored["expected_grade"] >= 2 * scored["tail_probability"] - 1e-9).all()
 
 
+def test_held_out_toxic_documents_go(spark, tables):
+    docs, labels = tables
+    model = Q.train(docs, labels.where("doc_id % 5 != 0"))
+    held = Q.graded(labels.where("doc_id % 5 = 0")).join(docs, "doc_id")
+    kept = Q.score(held, model).join(Q.graded(labels), "doc_id").toPandas().groupby("grade")["kept"].mean()
+    print(kept)
+    assert kept[2] >= 0.98 and kept[0] <= 0.05 and kept[1] <= 0.2
+
+
+def test_a_rare_decisive_word_counts_in_a_long_text():
+    fill = [np.unique(np.random.default_rng(i).integers(100, 1 << Q.BITS, 400)) for i in range(200)]
+    rows = [(np.r_[7, f] if i % 20 == 0 else f, 1 if i % 20 == 0 else 2) for i, f in enumerate(fill)]
+    model = Q.fit(rows)
+    long = np.unique(np.random.default_rng(900).integers(100, 1 << Q.BITS, 2000))
+    assert model.tails(np.r_[7, long])[-1] < model.tails(long)[-1]
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, kept int, grade int"
     docs = spark.createDataFrame([(1, None, 0, 0), (2, "", 0, 0), (2, "", 0, 0), (None, "a b", 0, 0), (4, "long " * 200_000, 0, 0)], schema)

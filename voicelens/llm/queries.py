@@ -13,6 +13,7 @@ from .pieces import sample_pieces
 from .secrets import scan_secrets
 from .sharding import shard
 from .shared import table
+from .spelling import spelling_variants
 from .urls import judge
 from .wrappers import extract
 
@@ -58,8 +59,12 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
 
 
+def op12_permuterm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_classifier, op3_url_filter, op4_secret_scan, op5_html_wrappers, op6_line_rules,
-    op7_sampled_pieces, op8_best_fit_packing, op9_sampled_splitters, op10_ngram_jaccard_join)}
+    op7_sampled_pieces, op8_best_fit_packing, op9_sampled_splitters, op10_ngram_jaccard_join, op12_permuterm_variants)}
 
 __all__ = ["ORACLES", "QUERIES"]

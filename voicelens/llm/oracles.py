@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .line_rules import ORACLE_SQL as LINE_RULES
+from .prefix_trie import ORACLE_SQL as PREFIX_TRIE
 
 EXACT_DEDUP = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -42,4 +43,5 @@ ORACLES = {
     "op5_html_wrappers": HTML,
     "op6_line_rules": LINE_RULES,
     "op10_ngram_jaccard_join": JACCARD_JOIN,
+    "op13_zfast_trie": PREFIX_TRIE,
 }

@@ -10,6 +10,7 @@ from .jaccard_join import jaccard_components
 from .oracles import ORACLES
 from .packing import pack_documents
 from .pieces import sample_pieces
+from .prefix_trie import conversation_trie
 from .secrets import scan_secrets
 from .sharding import shard
 from .shared import table
@@ -63,8 +64,12 @@ def op12_permuterm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_classifier, op3_url_filter, op4_secret_scan, op5_html_wrappers, op6_line_rules,
-    op7_sampled_pieces, op8_best_fit_packing, op9_sampled_splitters, op10_ngram_jaccard_join, op12_permuterm_variants)}
+    op7_sampled_pieces, op8_best_fit_packing, op9_sampled_splitters, op10_ngram_jaccard_join, op12_permuterm_variants, op13_zfast_trie)}
 
 __all__ = ["ORACLES", "QUERIES"]

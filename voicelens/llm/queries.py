@@ -15,6 +15,7 @@ from .secrets import scan_secrets
 from .sharding import shard
 from .shared import table
 from .spelling import spelling_variants
+from .toxicity import score as score_toxicity
 from .urls import judge
 from .wrappers import extract
 
@@ -60,6 +61,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_permuterm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,6 @@ def op13_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_classifier, op3_url_filter, op4_secret_scan, op5_html_wrappers, op6_line_rules,
-    op7_sampled_pieces, op8_best_fit_packing, op9_sampled_splitters, op10_ngram_jaccard_join, op12_permuterm_variants, op13_zfast_trie)}
+    op7_sampled_pieces, op8_best_fit_packing, op9_sampled_splitters, op10_ngram_jaccard_join, op11_toxicity, op12_permuterm_variants, op13_zfast_trie)}
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -302,7 +302,7 @@ def q_join_airport_role(spark, sf):
 
 
 TOKENS_V_SQL = """
-tokens_v AS (
+tokens_v AS MATERIALIZED (
   SELECT clause_id, i, word,
          CASE WHEN i = h THEN 'v' ELSE (['a','d','c','b','n'])[length(word) % 5 + 1] END AS pos,
          CASE WHEN i = h THEN 'HED' WHEN i < h THEN (['SBV','ADV','ATT','COO'])[i % 4 + 1]

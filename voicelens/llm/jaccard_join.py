@@ -15,12 +15,12 @@ blocks than that, some blocks are equal (pigeonhole).
   then shared ones by the number of sets that have them, empty ones last.  By the
   prefix argument two linked sets still share a kept block, and the blocks of
   passages that many unrelated documents hold drop out.
-* Sets that share a block are candidates.  In a few star rounds every set is held
-  against one pivot from the largest other component in its blocks, drawn by a
-  seeded order, and links are contracted to components.  Then all
-  remaining pairs that share a block across components are candidates.  So a large
-  group of near copies costs no quadratic number of pairs, and no link between
-  components is lost.
+* Sets that share a block are candidates.  In star rounds every set is held
+  against a few pivots from the largest other components of its blocks, drawn by
+  seeded orders, and links are contracted to components; the rounds go on while
+  they link.  Then all remaining pairs that share a block across components are
+  candidates.  So a large group of near copies costs no quadratic number of pairs,
+  and no link between components is lost.
 * A candidate pair passes the size bound and the Hamming distance of dense
   sketches (both inside the join), then the exact intersection of the sets.
 
@@ -44,7 +44,8 @@ SET_SCHEMA = "doc_id long, n_shingles long, set_id long, set_check long, side in
 BLOCK_SCHEMA = "block long, set_id long"
 SHINGLES_SCHEMA = "set_id long, n long, sketch array<long>, shingles binary"
 SKETCH_WORDS = 16
-STAR_ROUNDS = 4
+#: Pivots that a set is held against in a star round; rounds go on while one of so many sets finds a link.
+PIVOTS, STAR_YIELD = 4, 50
 #: Candidate rows up to which their ids are broadcast (8 bytes each).
 BROADCAST_ROWS = 1_000_000
 BAND = 1.5625
@@ -277,6 +278,22 @@ def kept_blocks(blocks: DataFrame, classes: DataFrame) -> DataFrame:
     return ranked.where("shown - common + nth <= keep").select("block", "set_id")
 
 
+def star_pairs(placed: DataFrame, turn: int) -> DataFrame:
+    """(x, y): every set y of a block with sets of other components, and its pivots x.
+
+    A block's pivots are ``PIVOTS`` sets drawn by seeded hashes from its largest
+    component; of its blocks a set takes, in turn, the one with the largest
+    component and the one with the fewest sets.
+    """
+    by_block = Window.partitionBy("block")
+    drawn = [F.min(F.struct((-F.col("size")).alias("size"), F.xxhash64("part", F.lit(turn)).alias("by"), "part", F.xxhash64("set_id", F.lit(turn), F.lit(k)).alias("nth"), F.col("set_id").alias("x"))).over(by_block).alias(f"pivot{k}")
+             for k in range(PIVOTS)]
+    drawn = placed.select("set_id", "part", F.count("*").over(by_block).alias("sets"), *drawn).where("part != pivot0.part")
+    first = [F.min(F.struct(*([] if k % 2 == 0 else ["sets"]), f"pivot{k}.size", f"pivot{k}.by", f"pivot{k}.nth", f"pivot{k}.x")).alias(f"pivot{k}") for k in range(PIVOTS)]
+    chosen = drawn.groupBy(F.col("set_id").alias("y")).agg(*first)
+    return chosen.select(F.explode(F.array_distinct(F.array(*[F.col(f"pivot{k}.x") for k in range(PIVOTS)]))).alias("x"), "y").select("x", "y")
+
+
 def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified links (x, y) between set ids; their components are those of all linked pairs."""
     by_block = Window.partitionBy("block")
@@ -285,20 +302,19 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Data
                      .where("least != most").select("block", "set_id"), "shared-blocks")
     wanted = shared.select("set_id").distinct().join(classes.select("set_id", F.col("rep").alias("doc_id")), "set_id")
     sets = _shingles_of(docs, wanted, width)
-    found, placed = None, shared.select("*", F.col("set_id").alias("part"), F.lit(1).cast("long").alias("size"))
-    for turn in range(STAR_ROUNDS):
-        order = F.struct((-F.col("size")).alias("size"), F.xxhash64("part", F.lit(turn)).alias("by"), "part", F.xxhash64("set_id", F.lit(turn)).alias("nth"), F.col("set_id").alias("x"))
-        star = (placed.select("set_id", "part", F.min(order).over(by_block).alias("pivot")).where("part != pivot.part")
-                .groupBy(F.col("set_id").alias("y")).agg(F.min("pivot").alias("pivot")).select("pivot.x", "y"))
-        new = written(verify(star, sets, percent), "star-links")
-        if turn and not new.limit(1).count():
-            break
+    found, turn = None, 0
+    placed = shared.select("*", F.col("set_id").alias("part"), F.lit(1).cast("long").alias("size"))
+    while True:
+        new = written(verify(star_pairs(placed, turn), sets, percent), "star-links")
+        left, linked, turn = placed.select("set_id").distinct().count(), new.count(), turn + 1
         found = new if found is None else written(found.unionByName(new), "star-links")
         parts = components(found, "x", "y")
         parts = parts.join(parts.groupBy("component").agg(F.count("*").alias("size")), "component").withColumnRenamed("node", "set_id")
         mixed = (shared.join(parts, "set_id", "left").select("block", "set_id", F.coalesce("component", "set_id").alias("part"), F.coalesce("size", F.lit(1)).alias("size"))
                  .select("*", F.min("part").over(by_block).alias("low"), F.max("part").over(by_block).alias("high")))
         placed = written(mixed.where("low != high").select("block", "set_id", "part", "size"), "mixed-blocks")
+        if linked * STAR_YIELD < left or not linked:
+            break
     rows = placed.join(sets.select("set_id", "n", "sketch"), "set_id")
     a, b = rows.alias("a"), rows.alias("b")
     across = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.part") < F.col("b.part")) & may_link("a", "b", percent))

@@ -13,10 +13,13 @@ TEXTS = ["", " ", "  ", "a  b", "a \n b", "\n", "a\n b ", " a", "x\t y", "don't
 
 def reference():
     t = Tokenizer.from_file(K.default_tokenizer())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_read_as_the_library_reads_them():
+    assert list(OWN("a <|endoftext|>b")) == [64, 220, 50256, 65]
+
+
 REF, OWN = reference(), K.ranked_encoder(K.default_tokenizer())
 
 
@@ -72,3 +75,16 @@ def test_few_sequences(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = K.pack_documents(docs).toPandas()
     assert got["sequence_id"].nunique() <= -(-got["length"].sum() // 2048) + 1
+
+
+def test_other_capacities_bind_and_equal_rows_spread(spark):
+    docs = spark.createDataFrame([(7, "same words")] * 3000, "doc_id long, text string").repartition(4)
+    got = K.pack_documents(docs, max_documents=3, rows_per_group=300).toPandas()
+    assert len(got) == 3000 and got.groupby("sequence_id").size().max() == 3
+    assert got["sequence_id"].nunique() <= 1000 + 10
+    got = K.pack_documents(docs, max_attention=2048 ** 2, max_documents=2048, rule="dot", rows_per_group=300).toPandas()
+    length = got["length"].iloc[0]
+    tight = K.pack(K.tokenise(docs), max_attention=int(5 * length ** 2), rows_per_group=300).toPandas()
+    assert tight.groupby("sequence_id").size().max() == 5
+    groups = K.pack(K.tokenise(docs), rows_per_group=300).toPandas()["sequence_id"] % 10
+    assert groups.value_counts().max() < 600

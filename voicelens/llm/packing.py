@@ -7,7 +7,7 @@ vector, and the feasible sequence with the smallest weighted norm of what would
 be left (``rule="norm"``), or with the largest weighted dot product of residual
 and demand (``rule="dot"``), takes the piece.
 
-Scale: pieces are dealt by a hash into groups of about ``rows_per_group``; each
+Scale: written pieces are dealt by a hash of their row into groups of about ``rows_per_group``, equal rows too; each
 group is packed on its own, so a task holds one group of small integers and a
 group leaves at most a few sequences open.  The number of groups grows with the
 input.  Texts never leave the task that reads them.
@@ -40,18 +40,18 @@ def default_tokenizer() -> str:
 
 
 def ranked_encoder(path: str):
-    """``encode(text) -> ids`` of a byte-level BPE tokenizer file; strings of special tokens are ordinary text.
+    """``encode(text) -> ids`` of a byte-level BPE tokenizer file, as its library encodes without added special tokens.
 
     When the file's ids follow its merge order (as byte-level BPE files
     commonly do), the same merges run as ranks, which is several times faster;
-    otherwise the file's own library encodes.
+    otherwise, and for texts that hold the string of an added token, the
+    library itself encodes.
     """
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer, pre_tokenizers
 
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     spec = json.loads(Path(path).read_text())
     plain = lambda text: own.encode(text, add_special_tokens=False).ids
     pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
@@ -67,7 +67,8 @@ def ranked_encoder(path: str):
         return plain
     special = {t["content"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(letter[c] for c in word): i for word, i in model["vocab"].items() if word not in special}
-    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    ranked = tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return lambda text: plain(text) if any(x in text for x in special) else ranked(text)
 
 
 def _encoder(path: str):
@@ -145,7 +146,7 @@ def best_fit(lengths: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rul
 
 
 def pack(pieces: DataFrame, max_tokens: int = 2048, max_documents: int | None = None,
-         max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 0.0, 0.05),
+         max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 0.05, 0.05),
          rule: str = "norm", rows_per_group: int = 6000) -> DataFrame:
     """Sequence and offset of each piece.
 
@@ -162,7 +163,7 @@ def pack(pieces: DataFrame, max_tokens: int = 2048, max_documents: int | None =
         sequence, offset = best_fit(frame["length"].to_numpy(), capacity, weight, rule)
         return frame.assign(sequence_id=sequence * groups + int(key[0]), offset=offset).drop(columns="_group")
 
-    return (pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(groups)))
+    return (pieces.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id(), "doc_id", "ids_crc32"), F.lit(groups)))
             .groupBy("_group").applyInPandas(run, PACKED_SCHEMA))
 
 

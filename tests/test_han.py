@@ -1,6 +1,7 @@
 """Han text, mixed case, merge and report values on literal rows."""
 
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -54,10 +55,38 @@ def test_all_opinions_are_kept(spark):
     assert tag_reviews(df, cfg).first().hed == words
 
 
-def test_script_phrases_before_characters(spark):
-    rows = {"後來": "后来", "後": "后", "頭髮": "头发", "來": "来"}
-    mapping = spark.createDataFrame(list(rows.items()), "from_word string, to_word string")
-    assert one(spark, SC.normalize_chars("s", mapping), s="後來頭髮後x來") == "后来头发后x来"
+def script(spark, pairs, texts):
+    mapping = spark.createDataFrame(pairs, "from_word string, to_word string")
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "run_id long, text string, run string").repartition(2)
+    return [r.text for r in sorted(SC.normalize_script(df, mapping, "text").collect(), key=lambda r: r.run_id)]
+
+
+def test_script_phrases_and_characters(spark):
+    rows = [("後來", "后来"), ("後", "后"), ("頭髮", "头发"), ("來", "来"), ("來", "来x")]
+    texts = ["後來頭髮後x來", "", None, "plain", "後來頭髮後x來", "髮頭", "\n後\n"]
+    assert script(spark, rows, texts) == ["后来头发后x来", "", None, "plain", "后来头发后x来", "髮頭", "\n后\n"]
+    assert script(spark, [], texts) == texts and script(spark, [("", "x"), ("a", None)], ["a"]) == ["a"]
+
+
+def test_script_takes_the_fewest_units(spark):
+    rows = [("ABC", "[abc]"), ("AB", "[ab]"), ("CDE", "[cde]"), ("BC", "[bc]"), ("XY", "1"), ("YZ", "2")]
+    assert script(spark, rows, ["ABCDE", "ABC", "ABCD", "XYZ", "zABCDEABC"]) == ["[ab][cde]", "[abc]", "[abc]D", "X2", "z[ab][cde][abc]"]
+    assert script(spark, rows, ["ABCDE" * 20_000]) == ["[ab][cde]" * 20_000]
+
+
+def test_script_against_all_cuts(spark):
+    rng = random.Random(5)
+    pairs = {"".join(rng.choices("abc", k=rng.randint(1, 4))): f"<{i}>" for i in range(12)}
+
+    def cuts(t):
+        if not t:
+            yield (), ""
+        for n in range(1, min(4, len(t)) + 1):
+            if t[:n] in pairs or (n == 1 and t[0] not in pairs):
+                for steps, out in cuts(t[n:]):
+                    yield (n, *steps), pairs.get(t[:n], t[:n]) + out
+    texts = ["".join(rng.choices("abcd", k=rng.randint(0, 11))) for _ in range(80)]
+    assert script(spark, list(pairs.items()), texts) == [min(cuts(t), key=lambda c: (len(c[0]), c[0]))[1] for t in texts]
 
 
 def test_merging_twice_is_merging_once(spark):

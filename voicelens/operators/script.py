@@ -1,36 +1,118 @@
 """STR-5 script normalisation with a mapping table (from_word → to_word).
 
-Phrases go first, the longest first, each at its place from left to right;
-characters that no phrase takes are translated one by one.  The mapping is a
-user dimension (a dictionary of the script, not of the reviews); it is embedded
-in the expression, so the texts are read once and not shuffled.
+Of all ways to cut a text into mapped phrases and single characters the one with
+the fewest units counts; of equal ones the one whose first unit is shorter, and so
+on.  Single characters are mapped if the table has them and pass through if not.
+
+* Only characters that occur in the mapping matter.  Their set (an alphabet,
+  bounded by the script) cuts a text into *runs*; every distinct run of the corpus
+  is worked out once, however many texts share it.
+* The phrases of a run are found by a hash join of its substrings with the mapping
+  (substrings of those lengths that the mapping has).  The mapping is never
+  collected, so a dictionary of any size works; a frequent phrase is one row on its
+  side of the join, and Spark splits the other side if it is skewed.
+* The shortest path over the phrases of one run is a small Arrow function over the
+  rows of that run, linear in its length times the number of lengths.
 """
 
 from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import _array_lit, _col
+from ..functions.stage import stage
+from ..session import written
+
+#: Distinct characters of all phrases: bounded by the script, not by the phrases.
+MAX_ALPHABET = 200_000
+
+
+def mapping_rows(mapping: DataFrame) -> DataFrame:
+    """One row per non-empty from_word; of repeated words the smallest to_word counts."""
+    return mapping.where("from_word != '' AND to_word IS NOT NULL").groupBy("from_word").agg(F.min("to_word").alias("to_word"))
+
+
+def alphabet_of(rows: DataFrame) -> list[str]:
+    """The characters that occur in the mapping."""
+    chars = rows.select(F.explode(F.split("from_word", "")).alias("c")).where("c != ''").distinct().limit(MAX_ALPHABET + 1).collect()
+    if len(chars) > MAX_ALPHABET:
+        raise ValueError(f"the mapping has more than {MAX_ALPHABET} different characters")
+    return sorted(r.c for r in chars)
+
+
+def cut_runs(text: Column, alphabet: list[str]) -> Column:
+    """Pieces of a text: what lies outside the alphabet and runs within, in turn (null for null)."""
+    pattern = "([" + "".join(map(re.escape, alphabet)) + "]+)"
+
+    @F.pandas_udf("array<string>")
+    def pieces(texts: pd.Series) -> pd.Series:
+        split = re.compile(pattern).split
+        return texts.map(lambda t: None if t is None else split(t))
+
+    return pieces(text)
+
+
+def phrase_hits(runs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(run_id, at, n, to_word): the mapped phrases of each run (run_id, run), by a join on their substrings."""
+    lengths = [r.n for r in rows.select(F.length("from_word").alias("n")).distinct().collect()]  # at most the longest phrase
+    chars = stage(runs.select("run_id", F.split("run", "").alias("chars")), "chars")
+    places = chars.select("run_id", F.size("chars").alias("long"), F.explode(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.size("chars")), lambda i: F.array(*[F.struct(i.alias("at"), F.lit(n).alias("n"), F.array_join(F.slice("chars", i, n), "").alias("sub")) for n in lengths])))).alias("p"))
+    subs = places.where("p.at + p.n <= long + 1").select("run_id", "p.at", "p.n", F.col("p.sub").alias("from_word"))
+    return subs.join(rows, "from_word").select("run_id", "at", "n", "to_word")
+
+
+def fewest_units(run: str, hits: list[tuple[int, int, str]]) -> str:
+    """The run by its cheapest cut; ``hits`` are (place from 1, length, replacement)."""
+    n = len(run)
+    starts: list[list[tuple[int, str]]] = [[] for _ in range(n)]
+    for at, length, word in hits:
+        starts[at - 1].append((length, word))
+    units, step = [0] * (n + 1), [(1, "")] * n
+    for i in range(n - 1, -1, -1):
+        best = min([(1 + units[i + length], length, word) for length, word in starts[i]] + ([] if any(x == 1 for x, _ in starts[i]) else [(1 + units[i + 1], 1, run[i])]))
+        units[i], step[i] = best[0], best[1:]
+    out, i = [], 0
+    while i < n:
+        out.append(step[i][1])
+        i += step[i][0]
+    return "".join(out)
+
+
+def converted_runs(runs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(run, converted) for those distinct runs (run_id, run) that change."""
+    hits = phrase_hits(runs, rows).groupBy("run_id").agg(F.collect_list(F.struct("at", "n", "to_word")).alias("hits"))  # the hits of one run
+
+    @F.pandas_udf("string")
+    def convert(run: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([fewest_units(r, [(h["at"], h["n"], h["to_word"]) for h in hs]) for r, hs in zip(run, found, strict=True)])
 
+    return runs.join(hits, "run_id").select("run", convert("run", "hits").alias("converted")).where("run != converted")
 
-def mapping_rows(mapping: DataFrame) -> dict[str, str]:
-    """The mapping as a dictionary; of repeated words the smallest row counts."""
-    rows = mapping.where("from_word != '' AND to_word IS NOT NULL").groupBy("from_word").agg(F.min("to_word").alias("to_word"))
-    return {r["from_word"]: r["to_word"] for r in rows.orderBy("from_word").collect()}
 
+def normalize_script(df: DataFrame, mapping: DataFrame, text_col: str, out_col: str | None = None) -> DataFrame:
+    """``df`` with the text of ``text_col`` converted (into ``out_col``, by default in its place).
 
-def normalize_chars(c, mapping) -> Column:
-    """Replace every mapped phrase and character (mapping: DataFrame or dictionary)."""
-    rows = mapping_rows(mapping) if isinstance(mapping, DataFrame) else dict(mapping)
-    single = {a: b for a, b in rows.items() if len(a) == 1 and len(b) == 1}
-    chars = lambda x: F.translate(x, "".join(single), "".join(single.values())) if single else x
-    phrases = sorted((a for a in rows if a not in single), key=lambda a: (-len(a), a))
-    if not phrases:
-        return chars(_col(c))
-    pattern = "(?s)" + "|".join(map(re.escape, phrases)) + "|."
-    table = F.map_from_arrays(_array_lit(phrases), F.array(*[F.lit(rows[a]) for a in phrases]))
-    parts = F.regexp_extract_all(_col(c), F.lit(pattern), 0)
-    return F.array_join(F.transform(parts, lambda t: F.coalesce(F.try_element_at(table, t), chars(t))), "")
+    Null texts stay null, equal texts are converted once, repeated rows stay; an
+    empty mapping changes nothing.  Other columns of any name are carried along.
+    """
+    out_col = out_col or text_col
+    rows = written(mapping_rows(mapping), "script-mapping")
+    alphabet = alphabet_of(rows)
+    if not alphabet:
+        return df.withColumn(out_col, F.col(text_col))
+    columns = [c for c in df.columns if c != out_col]
+    packed = df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), df[text_col].cast("string").alias("_text"))
+    cut = packed.select(F.sha2("_text", 256).alias("_key"), cut_runs(F.col("_text"), alphabet).alias("_pieces"))
+    inside = F.array_distinct(F.filter("_pieces", lambda x, i: i % 2 == 1))
+    held = written(cut.where(F.size("_pieces") > 1).select("_key", F.explode(inside).alias("run")).distinct(), "script-runs")
+    runs = held.select("run").distinct().select(F.sha2("run", 256).alias("run_id"), "run")
+    changed = written(converted_runs(runs, rows), "script-changes")
+    tables = held.join(changed, "run").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("run", "converted"))).alias("_table"))  # the runs of one text
+    joined = packed.withColumn("_key", F.sha2("_text", 256)).join(tables, "_key", "left")
+    pieces = F.transform(cut_runs(F.col("_text"), alphabet), lambda x: F.coalesce(F.try_element_at("_table", x), x))
+    text = F.when(F.col("_table").isNull(), F.col("_text")).otherwise(F.array_join(pieces, ""))
+    return joined.select(*[F.col(f"_row.`{c}`").alias(c) for c in columns], text.alias(out_col))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as C
 from ..functions import text as T
+from ..operators.script import normalize_script
 
 DEDUP_KEY = ["fnum", "fdate", "evaluated_text"]
 
@@ -41,14 +42,13 @@ INGEST_COLUMNS = ["id", "evaluated_text", "fnum", "irr_f", "user_cabin", "dep_co
 
 def ingest_clean(raw: DataFrame, arrival_gap: str = "reference", crlf: str = "。",
                  script_map=None, extra_cols=("emo",)) -> DataFrame:
-    """PIP-2: AGG-1 → FLT-2 → DTE-3 → STR-3 → STR-5 → DTE-1 → PRJ-3 → projection."""
+    """PIP-2: AGG-1 → FLT-2 → DTE-3 → STR-3 → STR-5 (with a ``script_map`` table) → DTE-1 → PRJ-3 → projection."""
     df = dedupe_reviews(raw)
     df = drop_blank_text(df)
     df = df.withColumn("irr_f", C.irregular_flag("fdplan", "fdactual", "faplan", "faactual", arrival_gap))
     df = df.withColumn("evaluated_text", T.strip_crlf("evaluated_text", crlf))
     if script_map is not None:
-        from ..operators.script import normalize_chars
-        df = df.withColumn("evaluated_text", normalize_chars("evaluated_text", script_map))
+        df = normalize_script(df, script_map, "evaluated_text")
     m, w = C.period_keys(F.col("fdate"))
     df = (df.withColumn("period_m", m).withColumn("period_w", w)
             .withColumn("airline", carrier_code("fnum")))

@@ -41,7 +41,8 @@ NEGATIONS = ["nicht", "no", "than"]
 # the Han range for Chinese text).
 KEYWORD_SCRIPT = "[a-zA-Zà-öø-ÿÀ-ÖØ-Þß]"
 
-# FIXED VALUES: character mapping of the test corpus for script normalisation
-# (accented → plain letters); any (from_word, to_word) table can be passed instead.
+# FIXED VALUES: mapping of the test corpus for script normalisation (accented → plain letters, and
+# phrases that overlap, so that greedy and fewest-units cuts differ); any (from_word, to_word) table can be passed instead.
 CHAR_MAP = [("à", "a"), ("â", "a"), ("ç", "c"), ("è", "e"), ("é", "e"), ("ê", "e"),
-            ("ó", "o"), ("ö", "o"), ("ü", "u"), ("ß", "s")]
+            ("ó", "o"), ("ö", "o"), ("ü", "u"), ("ß", "s"),
+            ("éea", "ea"), ("ée", "E"), ("aux", "o"), ("éeau", "eau"), ("auê", "aw"), ("eé", "ey"), ("éé", "ee"), ("ou", "u")]

@@ -63,17 +63,23 @@ def emit(x: str, delims: str) -> str:
             f"NOT regexp_matches(c, {q(cls + '$')}) OR (length(c) > 1 AND regexp_matches(c, {q(P.LETTER_CLASS)})))")
 
 
-def script_sql(x: str, rows) -> str:
-    """STR-5 over ``documents``: phrases, longest first, then single characters; joined in token order."""
-    import re
+def script_sql(x: str, rows, source: str = "documents") -> str:
+    """STR-5 over ``source`` (doc_id and the text ``x``): every cut of each distinct run of mapped characters is enumerated; the one of fewest units, then of shortest first units, counts."""
     pairs = dict(sorted(rows, reverse=True))
-    words = sorted(pairs, key=lambda a: (-len(a), a))
     table = ", ".join(f"({q(a)}, {q(b)})" for a, b in pairs.items())
-    pattern = "(?s)" + "|".join([re.escape(a) for a in words if len(a) > 1] + ["."])
-    return f"""WITH map(a, b) AS (VALUES {table}),
-toks AS (SELECT doc_id, unnest(t) AS t, unnest(range(0, len(t))) AS i FROM (SELECT doc_id, regexp_extract_all({x}, {q(pattern)}) AS t FROM documents))
-SELECT doc_id, coalesce(string_agg(coalesce(b, t), '' ORDER BY i), '') AS normalized
-FROM documents LEFT JOIN toks USING (doc_id) LEFT JOIN map ON map.a = toks.t GROUP BY doc_id"""
+    inside = "".join(sorted({c for a in pairs for c in a}))
+    return f"""WITH RECURSIVE map(a, b) AS (VALUES {table}),
+toks AS (SELECT doc_id, unnest(t) AS t, unnest(range(0, len(t))) AS i FROM (SELECT doc_id, regexp_extract_all({x}, {q(f"[{inside}]+|[^{inside}]+")}) AS t FROM {source})),
+runs AS (SELECT DISTINCT t AS run FROM toks WHERE regexp_matches(t, {q(f"^[{inside}]")})),
+cuts AS (
+  SELECT run, 1 AS place, []::INTEGER[] AS steps, '' AS out FROM runs
+  UNION ALL
+  SELECT run, CAST(place + n AS INTEGER), list_append(steps, CAST(n AS INTEGER)), out || w
+  FROM (SELECT c.*, m.b AS w, length(m.a) AS n FROM cuts c JOIN map m ON substr(c.run, c.place, length(m.a)) = m.a
+        UNION ALL SELECT c.*, substr(c.run, c.place, 1), 1 FROM cuts c WHERE c.place <= length(c.run) AND substr(c.run, c.place, 1) NOT IN (SELECT a FROM map))),
+best AS (SELECT run, arg_min(out, (len(steps), steps)) AS converted FROM cuts WHERE place = length(run) + 1 GROUP BY run)
+SELECT doc_id, coalesce(string_agg(coalesce(converted, t), '' ORDER BY i), '') AS normalized
+FROM {source} LEFT JOIN toks USING (doc_id) LEFT JOIN best ON best.run = toks.t GROUP BY doc_id"""
 
 
 def split_clauses(x: str) -> str:
@@ -97,6 +103,58 @@ def recompose(x: str, stopwords=FX.STOPWORDS) -> str:
             f"ELSE array_to_string({collapse(pieces)}, ' ') END")
 
 
+def _han_words(x: str, stopwords) -> str:
+    kept = f"list_filter({spaced_tokens(x)}, lambda t: regexp_matches(t, {q(P.HAN_CLASS)}) AND NOT list_contains({arr([*stopwords, ' ', chr(9), chr(10)])}, t))"
+    return f"list_concat({kept}, regexp_extract_all({x}, {q(P.WIDE_ASCII_CLASS + '+')}))"
+
+
+def word_set(x: str, stopwords=FX.STOPWORDS) -> str:
+    return (f"list_sort(list_distinct(list_filter(CASE WHEN regexp_matches({x}, {q(P.HAN_CLASS)}) THEN {_han_words(x, stopwords)} "
+            f"ELSE string_split({x}, ' ') END, lambda t: t <> ' ')))")
+
+
+def word_line(x: str, stopwords=FX.STOPWORDS) -> str:
+    return f"CASE WHEN regexp_matches({x}, {q(P.HAN_CLASS)}) THEN array_to_string({_han_words(x, stopwords)}, ' ') ELSE {x} END"
+
+
+def summary_ctes(source: str, size: int, steps: int, alpha: float, decimals: int) -> str:
+    """SUM-1 over ``source`` (doc_id, text): joins and grouped sums, a pair for each rank step.
+
+    ``su_top`` has the top units (doc_id, u, unit, rank) of texts with more than ``size`` units, ``su_n`` the number of units.
+    """
+    even = f"({alpha}::DOUBLE * loose * xl + (1 - {alpha}::DOUBLE)) / n"
+    rank_steps = "".join(f""",
+su_z{k} AS MATERIALIZED (SELECT doc_id, t, sum(w * m.r * x / d) AS z FROM su_m m JOIN su_x{k - 1} USING (doc_id, unit) WHERE d > 0 GROUP BY ALL),
+su_x{k} AS MATERIALIZED (
+  SELECT doc_id, unit, u, n, r, d, loose, {alpha}::DOUBLE * coalesce(s, 0) + {even} AS x, {even} AS xl
+  FROM su_x{k - 1} LEFT JOIN (SELECT doc_id, unit, sum(w * z) AS s FROM su_m JOIN su_z{k} USING (doc_id, t) GROUP BY ALL) USING (doc_id, unit))""" for k in range(1, steps + 1))
+    return f"""
+su_n AS (SELECT doc_id, text, len({split_subclauses('text')}) AS n FROM {source}),
+su_u AS MATERIALIZED (
+  SELECT doc_id, u, han, {collapse_repeats('c')} AS unit
+  FROM (SELECT doc_id, regexp_matches(text, {q(P.HAN_CLASS)}) AS han, unnest(l) AS c, unnest(range(0, len(l))) AS u
+        FROM (SELECT doc_id, text, {split_subclauses('text')} AS l FROM {source}) WHERE len(l) > {size})),
+su_d AS MATERIALIZED (SELECT doc_id, han, unit, count(*) AS r, min(u) AS u, sum(count(*)) OVER (PARTITION BY doc_id) AS n FROM su_u GROUP BY doc_id, han, unit),
+su_t AS (
+  SELECT doc_id, unit, r, n, han, t, count(*) AS tf FROM (
+    SELECT doc_id, unit, r, n, han, unnest(string_split(lower(unit), '')) AS t FROM su_d
+    UNION ALL SELECT doc_id, unit, r, n, han, substr(lower(unit), i, 2) FROM (SELECT *, unnest(range(1, length(unit))) AS i FROM su_d WHERE han))
+  WHERE t <> '' GROUP BY ALL),
+su_f AS (SELECT doc_id, t, sum(r) AS df FROM su_t GROUP BY ALL),
+su_i AS (SELECT doc_id, unit, r, t, tf, ln((1 + n) / (1 + df)) + 1 AS idf FROM su_t JOIN su_f USING (doc_id, t) WHERE han OR df <= 0.9::DOUBLE * n),
+su_w AS (SELECT doc_id, unit, r, t, idf, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id, unit)) * idf AS w FROM su_i),
+su_m AS MATERIALIZED (SELECT doc_id, unit, r, t, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id, unit)) AS w FROM su_w),
+su_c AS (SELECT doc_id, t, sum(w * r) AS c FROM su_m GROUP BY ALL),
+su_g AS (SELECT doc_id, unit, sum(w * c) AS d FROM su_m JOIN su_c USING (doc_id, t) GROUP BY ALL),
+su_x0 AS MATERIALIZED (
+  SELECT doc_id, unit, u, n, r, coalesce(d, 0) AS d, coalesce(sum(r) FILTER (coalesce(d, 0) <= 0) OVER (PARTITION BY doc_id), 0) AS loose, 1 / n AS x, 1 / n AS xl
+  FROM su_d LEFT JOIN su_g USING (doc_id, unit)){rank_steps},
+su_best AS (SELECT doc_id, unit, round(x, {decimals}) AS score FROM su_x{steps} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(x, {decimals}) DESC, u) <= {size}),
+su_top AS (SELECT doc_id, u, unit, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, u) AS rank FROM su_u JOIN su_best USING (doc_id, unit) QUALIFY rank <= {size}),
+su_s AS (SELECT doc_id, string_agg(unit, '/' ORDER BY rank) AS summary FROM su_top GROUP BY doc_id),
+su_abstract AS (SELECT doc_id, CASE WHEN n <= {size} THEN text ELSE summary END AS summary FROM su_n LEFT JOIN su_s USING (doc_id))"""
+
+
 def ordered_distinct(lst: str) -> str:
     """Distinct elements in first-seen order (``lst`` should be a column: it is captured)."""
     z = f"list_zip({lst}, range(1, len({lst}) + 1))"

@@ -230,7 +230,7 @@ from ..operators import vectors as VE  # noqa: E402
 @register("script_normalize", O.script_sql("text", FX.CHAR_MAP))
 def q_script_normalize(spark, sf):
     mapping = spark.createDataFrame(FX.CHAR_MAP, "from_word STRING, to_word STRING")
-    return docs(spark, sf).select("doc_id", SC.normalize_chars("text", mapping).alias("normalized"))
+    return SC.normalize_script(docs(spark, sf).select("doc_id", "text"), mapping, "text", "normalized").select("doc_id", "normalized")
 
 
 _WORDS = f"list_filter({O.tokens('text')}, lambda t: regexp_matches(t, {O.q(P.LETTER_TOKEN)}))"
@@ -276,27 +276,36 @@ def q_kmeans_clusters(spark, sf):
 from ..operators import summary as SM  # noqa: E402
 
 
-@register("extractive_summary")
+SUMMARY = (10, SM.STEPS, SM.ALPHA, SM.DECIMALS)
+
+
+@register("extractive_summary", O.with_ctes(O.summary_ctes("documents", *SUMMARY), body="SELECT doc_id, summary FROM su_abstract"))
 def q_extractive_summary(spark, sf):
     return SM.extractive_summary(docs(spark, sf), size=10)
 
 
-@register("topk_units")
+@register("topk_units", O.with_ctes(O.summary_ctes("documents", *SUMMARY), body="SELECT doc_id, CAST(u AS INTEGER) AS u, CAST(rank AS INTEGER) AS rank FROM su_top"))
 def q_topk_units(spark, sf):
-    u = SM.units_of(docs(spark, sf)).filter(F.size("units") > 10)
-    long_ = u.select("doc_id", F.col("text").rlike(P.HAN_CLASS).alias("has_han"), F.posexplode("units").alias("u", "unit"))
-    scored = long_.groupBy("doc_id").applyInPandas(SM._rank_group, "doc_id long, u int, score double")
-    return SM.topk_units(scored, 10).select("doc_id", "u", "rank")
-
-
-@register("clean_and_summarize")
+    rows, long_ = SM.long_texts(docs(spark, sf), 10)
+    return rows.join(SM.topk_units(long_, 10), "key").select("doc_id", "u", "rank")
+
+
+@register("clean_and_summarize", O.with_ctes(O.BASE_CTES, f"""
+stripped AS (
+  SELECT id AS doc_id, {O.strip_crlf('evaluated_text', '')} AS text FROM reviews_v
+  WHERE evaluated_text IS NOT NULL AND regexp_replace(evaluated_text, {O.q(P.OUTER_BLANKS)}, '', 'g') <> ''
+    AND {O.keep_letters(f"regexp_replace(evaluated_text, {O.q(P.OUTER_BLANKS)}, '', 'g')")} <> ''),
+simple AS MATERIALIZED (SELECT doc_id, normalized AS text FROM ({O.script_sql('text', FX.CHAR_MAP, 'stripped')}))""", O.summary_ctes("simple", *SUMMARY), body=f"""
+SELECT doc_id, array_to_string({O.word_set('text')}, ' ') AS words, {O.word_line('text')} AS comment, {O.word_line('summary')} AS abstract
+FROM simple JOIN su_abstract USING (doc_id)"""))
 def q_clean_and_summarize(spark, sf):
-    """PIP-1: blank filter → strip → word set / word line → summary → word line of the summary."""
+    """PIP-1: blank filter → strip → script → word set / word line → summary → word line of the summary."""
     from ..plans.ingest import drop_blank_text
     d = drop_blank_text(A.reviews_v(spark, sf)).select(F.col("id").alias("doc_id"),
                                                        T.strip_crlf("evaluated_text", "").alias("text"))
-    s = SM.extractive_summary(d, size=10)
-    out = d.join(s, "doc_id")
+    mapping = spark.createDataFrame(FX.CHAR_MAP, "from_word STRING, to_word STRING")
+    d = written(SC.normalize_script(d, mapping, "text"), "simple-reviews")
+    out = d.join(SM.extractive_summary(d, size=10), "doc_id")
     return out.select("doc_id", F.array_join(T.word_set("text", FX.STOPWORDS), " ").alias("words"),
                       T.word_line("text", FX.STOPWORDS).alias("comment"),
                       T.word_line("summary", FX.STOPWORDS).alias("abstract"))

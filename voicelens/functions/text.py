@@ -66,12 +66,18 @@ def tokenize(c, lower: bool = True, terms: Iterable[str] = ()) -> Column:
     x = _col(c)
     if lower:
         x = F.lower(x)
-    return F.regexp_extract_all(x, F.lit(P.with_terms(P.TOKEN_PATTERN, terms)), 0)
+    return _tokens(x, P.TOKEN_PATTERN, terms)
+
+
+def _tokens(x: Column, pattern: str, terms: Iterable[str]) -> Column:
+    """Matches of ``pattern``; only texts with a Han character are held against the lexicon's words."""
+    plain, full = F.regexp_extract_all(x, F.lit(pattern), 0), P.with_terms(pattern, terms)
+    return plain if full == pattern else F.when(x.rlike(P.HAN_CLASS), F.regexp_extract_all(x, F.lit(full), 0)).otherwise(plain)
 
 
 def spaced_tokens(c, terms: Iterable[str] = ()) -> Column:
     """Tokens that keep every whitespace character, so ``array_join(t, '')`` = text."""
-    return F.regexp_extract_all(_col(c), F.lit(P.with_terms(P.SPACED_TOKEN_PATTERN, terms)), 0)
+    return _tokens(_col(c), P.SPACED_TOKEN_PATTERN, terms)
 
 
 def shift_right(arr) -> Column:

@@ -3,8 +3,8 @@
 The taxonomy is a user-supplied dimension (keyword → code, first row per
 keyword wins).  It does not grow with the review data; its size is checked
 before it is turned into in-row lookup maps, so that tagging stays a narrow
-(shuffle-free) transformation over the review rows.  Beyond the size bound
-the join-based path (`aspect_count_join`) is used.
+(shuffle-free) transformation over the review rows.  ``operators.lexicon`` counts
+aspects by joins, for a taxonomy of any size.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ class AspectLookup:
         if n > max_entries:
             raise ValueError(
                 f"taxonomy has {n} rows, above the in-row lookup bound {max_entries}; "
-                "use aspect_count_join for the join-based path")
+                "operators.lexicon works by joins")
         rows = sorted((r["line_no"], r["keyword"].lower(), r["code"])
                       for r in taxonomy.select("line_no", "keyword", "code").collect())
         return cls(rows=rows, **kw)
@@ -140,30 +140,6 @@ def aspect_count(reviews: DataFrame, lookup: AspectLookup, text_col: str = "eval
     )
 
 
-def aspect_count_join(reviews: DataFrame, taxonomy: DataFrame, text_col: str = "evaluated_text") -> DataFrame:
-    """AGG-2 for taxonomies above the lookup bound: explode ⋈ taxonomy → group.
-
-    The first row per keyword is chosen inside each subset (all rows, and all
-    rows but the irregular-flight code), as the in-row path does.
-    """
-    tax = taxonomy.select("line_no", "keyword", "code")
-    w = Window.partitionBy("keyword").orderBy("line_no")
-    first_all = tax.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(
-        "keyword", "code", F.lit(0).alias("_reg"))
-    first_reg = (tax.filter(F.col("code") != LX.IRREGULAR_CODE)
-                 .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-                 .select("keyword", "code", F.lit(1).alias("_reg")))
-    dim = first_all.unionByName(first_reg)
-    toks = reviews.select(
-        "id", F.when(F.col("irr_f") == 1, 1).otherwise(0).alias("_reg"),
-        F.explode(F.array_distinct(tokenize(F.col(text_col)))).alias("keyword"))
-    hits = toks.join(dim, ["keyword", "_reg"], "inner")
-    per_id = hits.groupBy("id").agg(F.array_sort(F.collect_set("code")).alias("_codes"))
-    out = reviews.select("id").join(per_id, "id", "left")
-    codes = F.coalesce(F.col("_codes"), F.array().cast("array<string>"))
-    return out.select("id", F.size(codes).cast("long").alias("n_aspects"), F.array_join(codes, "、").alias("codes"))
-
-
 def onehot_aspects(codes, code_list=LX.ALL_CODES) -> list:
     """AGG-9: one 0/1 INT column per code."""
     return [F.array_contains(_col(codes), c).cast("int").alias(c) for c in code_list]

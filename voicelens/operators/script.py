@@ -58,6 +58,8 @@ def cut_runs(text: Column, alphabet: list[str]) -> Column:
 def phrase_hits(runs: DataFrame, rows: DataFrame) -> DataFrame:
     """(run_id, at, n, to_word): the mapped phrases of each run (run_id, run), by a join on their substrings."""
     lengths = [r.n for r in rows.select(F.length("from_word").alias("n")).distinct().collect()]  # at most the longest phrase
+    if not lengths:
+        return runs.select("run_id", F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit("").alias("to_word")).where("false")
     chars = stage(runs.select("run_id", F.split("run", "").alias("chars")), "chars")
     places = chars.select("run_id", F.size("chars").alias("long"), F.explode(F.flatten(F.transform(
         F.sequence(F.lit(1), F.size("chars")), lambda i: F.array(*[F.struct(i.alias("at"), F.lit(n).alias("n"), F.array_join(F.slice("chars", i, n), "").alias("sub")) for n in lengths])))).alias("p"))

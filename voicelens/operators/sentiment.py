@@ -2,7 +2,7 @@
 
 SEN-1: sum of token polarities, a token right after a negation word counts
 with the opposite sign; emo = 2 (positive), 1 (neutral) or 0 (negative).
-Row-local: the lexicon (a checked, bounded dimension) becomes a literal map.
+``operators.lexicon.polarity_scores`` sums them by a join, for a lexicon of any size.
 """
 
 from __future__ import annotations
@@ -10,30 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import _array_lit, _col, shift_right
-
-MAX_LEXICON = 200_000
-
-
-def polarity_map(lexicon: DataFrame, max_entries: int = MAX_LEXICON) -> Column:
-    n = lexicon.count()
-    if n > max_entries:
-        raise ValueError(f"polarity lexicon has {n} rows, above the in-row bound {max_entries}")
-    rows = lexicon.select("word", "polarity").collect()
-    if not rows:
-        return F.create_map().cast("map<string,int>")
-    return F.map_from_arrays(F.array(*[F.lit(r["word"]) for r in rows]),
-                             F.array(*[F.lit(int(r["polarity"])) for r in rows]))
-
-
-def polarity_score(tokens, pmap: Column, negations) -> Column:
-    t = _col(tokens)
-    neg = _array_lit(negations)
-    signed = F.zip_with(t, shift_right(t), lambda cur, prev: F.coalesce(F.try_element_at(pmap, cur), F.lit(0))
-                        * F.when(F.coalesce(F.array_contains(neg, prev), F.lit(False)), -1).otherwise(1))
-    return F.aggregate(signed, F.lit(0), lambda acc, x: acc + x)
-
-
 def emo_class(score: Column) -> Column:
     return F.when(score > 0, 2).when(score < 0, 0).otherwise(1).cast("int")
 

@@ -18,6 +18,7 @@ from ..functions import text as T
 from ..functions.clauses import split_clauses, split_subclauses
 from ..operators import aspects as AS
 from ..operators import keywords as KW
+from ..operators import lexicon as LE
 from ..operators import reports as RP
 from ..sources import adapters as A
 from ..sources import fixtures as FX
@@ -80,7 +81,7 @@ SELECT c.id, CAST(coalesce(len(rc.codes), 0) AS BIGINT) AS n_aspects,
        coalesce(array_to_string(rc.codes, '、'), '') AS codes
 FROM clean c LEFT JOIN rc ON rc.id = c.id"""))
 def q_aspect_count(spark, sf):
-    return AS.aspect_count(clean(spark, sf), lookup(spark))
+    return LE.aspect_count(clean(spark, sf), A.taxonomy_v(spark))
 
 
 # --- PIP-3 tag_reviews -------------------------------------------------------------------

@@ -12,6 +12,7 @@ from ..functions import text as T
 from ..operators import aspects as AS
 from ..operators import cooccur as CO
 from ..operators import keywords as KW
+from ..operators import lexicon as LE
 from ..operators import merge as MG
 from ..operators import opinions as OP
 from ..operators import reports as RP
@@ -141,9 +142,8 @@ SELECT d.doc_id, CAST(coalesce(sum(s), 0) AS INTEGER) AS score,
        CAST(CASE WHEN coalesce(sum(s), 0) > 0 THEN 2 WHEN coalesce(sum(s), 0) < 0 THEN 0 ELSE 1 END AS INTEGER) AS emo
 FROM documents d LEFT JOIN scored USING (doc_id) GROUP BY d.doc_id""")
 def q_sentiment_lexicon(spark, sf):
-    pmap = SE.polarity_map(A.polarity_v(spark))
-    score = SE.polarity_score(T.tokenize("text"), pmap, FX.NEGATIONS)
-    return docs(spark, sf).select("doc_id", score.alias("score"), SE.emo_class(score).alias("emo"))
+    scores = LE.polarity_scores(docs(spark, sf), A.polarity_v(spark), FX.NEGATIONS)
+    return scores.select("doc_id", "score", SE.emo_class(F.col("score")).alias("emo"))
 
 
 @register("sentiment_model")

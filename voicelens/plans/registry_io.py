@@ -21,6 +21,7 @@ from ..session import scratch_path, written
 from ..sources import adapters as A
 from ..sources import fixtures as FX
 from ..sources import readers as RD
+from ..sources import stores as ST
 from . import oracle as O
 from .registry import ORACLES, TAG, clean, lookup, register, tagged
 from .registry_ops import TOKENS_V_SQL, docs
@@ -127,6 +128,46 @@ def q_upsert_merge(spark, sf):
     return MG.merge_upsert(target, updates.unionByName(inserts), ["id", "chilid", "seq"], ["keyword"], order_col="version")
 
 
+MERGED = [c for c in ST.TABLES["tagged"].updates if c != "hed"]
+STORED = ["id", "chilid", *MERGED, "JGP", "fnum", "airline", "period_m"]
+
+
+@register("upsert_tagged", O.with_ctes(*TAG, body=f"""
+SELECT id, chilid, {', '.join(MERGED)}, CASE WHEN id % 3 = 0 THEN JGP ELSE 7 END AS JGP, CASE WHEN id % 3 = 0 THEN fnum ELSE 'old' END AS fnum, airline, period_m
+FROM tagged"""))
+def q_upsert_tagged(spark, sf):
+    """The tagged table: two thirds stored with other values, then all rows merged month by month; columns outside the contract keep the stored values."""
+    path = _scratch(spark, "stored-tagged")
+    t = written(tagged(spark, sf).select(*STORED), "tagged")
+    old = t.where("id % 3 != 0").withColumns({"view": F.lit("old"), "lable": F.lit(None).cast("string"), "emo": F.lit(9), "B1": F.lit(5), "JGP": F.lit(7), "fnum": F.lit("old")})
+    ST.merge_into(spark, path, old, ST.TABLES["tagged"], batch="first")
+    for batch in ("even", "odd", "odd"):                            # the repeated batch changes nothing
+        part = t.where(F.col("period_m") % 2 == (0 if batch == "even" else 1))
+        ST.merge_into(spark, path, part, ST.TABLES["tagged"], batch=batch)
+    return spark.read.parquet(path).select(*STORED)
+
+
+@register("upsert_reports", O.with_ctes(*TAG, O.UNITS_CTE, body="""
+SELECT DISTINCT period_kind, void, CAST(period AS INTEGER) AS period, CASE WHEN period_kind = 'm' THEN 'new' ELSE 'old' END AS state FROM units
+WHERE period_kind = 'm' OR period % 2 = 1
+UNION SELECT DISTINCT 'w', void, CAST(period AS INTEGER), 'new' FROM units WHERE period_kind = 'w' AND period % 2 = 0"""))
+def q_upsert_reports(spark, sf):
+    """Month and week reports: stored once, then all months and the even weeks merged anew."""
+    u = written(RP.report_units(tagged(spark, sf)), "units")
+    reports = RP.report_table(u).select("void", "period", "keywordsdata")
+    reports = written(reports, "reports")
+    out = None
+    for kind, name in (("m", "month_reports"), ("w", "week_reports")):
+        path, column = _scratch(spark, name), f"period_{kind}"
+        own = reports.where(F.col("period") < 1_000_000 if kind == "m" else F.col("period") >= 1_000_000).withColumnRenamed("period", column)
+        ST.merge_into(spark, path, own.withColumn("keywordsdata", F.lit("old")), ST.TABLES[name], batch="first")
+        ST.merge_into(spark, path, own if kind == "m" else own.where(F.col(column) % 2 == 0), ST.TABLES[name], batch="again")
+        state = F.when(F.col("keywordsdata") == "old", "old").otherwise("new")
+        rows = spark.read.parquet(path).select(F.lit(kind).alias("period_kind"), "void", F.col(column).cast("int").alias("period"), state.alias("state"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # --- SEN-1 ----------------------------------------------------------------------------
 
 _POL = ", ".join(f"({O.q(w)}, {p})" for w, p in FX.POLARITY)
@@ -207,15 +248,17 @@ def q_clause_cascade(spark, sf):
 
 @register("daily_incremental", ORACLES["tag_reviews"])
 def q_daily_incremental(spark, sf):
-    from ..streaming.daily import first_per_review, run_increment
+    """Three files arrive, one a batch, each merged into the stored tables."""
+    from ..streaming.daily import run_increment
     base = _scratch(spark, "daily")
     raw = A.reviews_v(spark, sf)
-    # three arriving files, by id range
-    raw.repartitionByRange(3, "id").write.mode("overwrite").parquet(f"{base}/in")
+    low, high = raw.agg(F.min("id"), F.max("id")).first()
+    for k in range(3):                                              # in the order of ids
+        own = F.floor((F.col("id") - F.lit(low or 0)) * 3 / F.lit((high or 0) - (low or 0) + 1))
+        raw.where(own == k).coalesce(1).write.mode("append").parquet(f"{base}/in")
     schema = raw.schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    cfg = TagConfig(lookup=lookup(spark))
-    run_increment(spark, f"{base}/in", schema, f"{base}/out", f"{base}/ckpt", cfg)
-    t = first_per_review(spark.read.parquet(f"{base}/out"))
+    run_increment(spark, f"{base}/in", schema, f"{base}/tables", f"{base}/ckpt", TagConfig(lookup=lookup(spark)), files_per_batch=1)
+    t = spark.read.parquet(f"{base}/tables/tagged")
     return t.select("id", "chilid", "view", "view_n", "lable", F.array_join("hed", "、").alias("hed"), "fnum",
                     "irr_f", "dep_code", "arr_code", "fdate", "period_m", "period_w", "airline", *LX.ALL_CODES,
                     "ADO", "emo")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 # fixed values: the blank mark of the model format, and a code for one that stands in the text
 MARK = 0x2581
 TEXT_MARK = 0x110000
-BLOCK_CHARS = 400_000
+BLOCK_CHARS = 2_000_000
 
 _models: dict = {}
 
@@ -90,7 +90,8 @@ class Pieces:
         word = np.repeat(np.arange(len(starts)), lengths)
         left = np.repeat(starts + lengths, lengths) - np.arange(n)      # characters up to the word's end
         weight = np.full((n + len(starts), width), -np.inf)
-        code = np.zeros((n + len(starts), width), np.int64)
+        code = np.zeros((n + len(starts), width), np.int32)
+        reach = np.ones(n + len(starts), np.int8)                        # length of the longest piece that ends in a node
         node = np.arange(n) + word
         at, state = np.arange(n), np.zeros(n, np.int64)
         alone = np.zeros(n, bool)
@@ -103,6 +104,7 @@ class Pieces:
             ends = piece >= 0
             to = node[at[ends]] + k + 1
             weight[to, k], code[to, k] = self.weight[piece[ends]], piece[ends]
+            reach[to] = k + 1
             if k == 0:
                 alone[at[ends]] = True
             more = left[at] > k + 1
@@ -120,7 +122,7 @@ class Pieces:
         tall = np.searchsorted(-lengths[order], -np.arange(1, (lengths.max() if len(lengths) else 0) + 1), side="right")
         for t, m in enumerate(tall.tolist(), 1):
             v = base[order[:m]] + t
-            w = min(t, width)
+            w = int(reach[v].max())
             paths = total[v[:, None] - np.arange(1, w + 1)] + weight[v, :w]
             top = paths.max(axis=1)
             share = np.exp(paths - top[:, None])

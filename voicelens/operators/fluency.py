@@ -5,54 +5,72 @@ with the lowest perplexity wins (the shortest on ties) and the walk goes on
 behind it.  The original asked an external service for the perplexity; here
 it comes from a bigram model of the corpus itself, counted with Spark:
 P(w1) = (c(w1) + 1) / (N + V), P(b | a) = (c(a, b) + 1) / (c(a) + V),
-perplexity = exp(−mean log P).  Candidate scores are joins with the count
-tables plus one aggregation; the greedy chain over the per-start best
-lengths runs inside the document row with ``aggregate``.
+perplexity = exp(−mean log P).
+
+Every token is scored once, as a first word and behind its predecessor, by joins
+with the counts.  A unit keeps the sum of its tokens' bigram scores and both scores
+of its first token; a span's score is the sum over its units, with the first word's
+bigram score exchanged for its own.  So spans cost a window over unit rows and no
+token is joined again.  The greedy chain over the per-start best lengths runs
+inside the document row with ``aggregate``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.clauses import split_subclauses
 from ..functions.stage import stage
 from ..functions.text import shift_right, tokenize
+from ..session import written
+
+#: Decimals of a mean log probability by which spans are compared.
+DECIMALS = 9
 
 
 def _words(c):
     return F.filter(tokenize(c), lambda t: t.rlike(P.LETTER_TOKEN))
 
 
-def fluency_regroup(docs: DataFrame, window: int = 4, text_col: str = "text") -> DataFrame:
-    base = stage(docs.select("doc_id", F.col(text_col).alias("text"), split_subclauses(F.col(text_col)).alias("units")))
-    # corpus bigram model
-    toks = stage(base.select("doc_id", _words(F.col("text")).alias("w")))
-    uni = toks.select(F.explode("w").alias("a")).groupBy("a").agg(F.count(F.lit(1)).alias("ca"))
-    big = toks.select(F.explode(F.zip_with(shift_right("w"), "w", lambda a, b: F.when(
-        a.isNotNull(), F.named_struct(F.lit("a"), a, F.lit("b"), b)))).alias("e")).filter(F.col("e").isNotNull())
-    big = big.groupBy(F.col("e.a").alias("a"), F.col("e.b").alias("b")).agg(F.count(F.lit(1)).alias("cab"))
-    stats = uni.agg(F.sum("ca").alias("n"), F.count(F.lit(1)).alias("v")).first()
+def _pairs(words) -> F.Column:
+    """(a, b) of each word b and the word a before it (null for the first)."""
+    return F.zip_with(shift_right(words), words, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
+def bigram_scores(docs: DataFrame, tokens: DataFrame, text_col: str) -> DataFrame:
+    """``tokens`` (with a, b) and the log probabilities ``first`` of b and ``next`` of b behind a (0 without a), under the bigram model of the texts."""
+    toks = stage(docs.select(_words(F.col(text_col)).alias("w")), "w")
+    uni = toks.select(F.explode("w").alias("b")).groupBy("b").agg(F.count("*").alias("cb"))
+    big = toks.select(F.explode(_pairs("w")).alias("e")).select("e.a", "e.b").where("a is not null").groupBy("a", "b").agg(F.count("*").alias("cab"))
+    uni = written(uni, "unigrams")
+    stats = uni.agg(F.sum("cb").alias("n"), F.count("*").alias("v")).first()
     n_tok, vocab = float(stats["n"] or 0), float(stats["v"] or 0)
+    j = (tokens.join(uni, "b", "left").join(uni.select(F.col("b").alias("a"), F.col("cb").alias("ca")), "a", "left").join(big, ["a", "b"], "left"))
+    first = F.log((F.coalesce("cb", F.lit(0)) + 1) / F.lit(n_tok + vocab))
+    after = F.when(F.col("a").isNull(), 0.0).otherwise(F.log((F.coalesce("cab", F.lit(0)) + 1) / (F.coalesce("ca", F.lit(0)) + F.lit(vocab))))
+    return j.select("doc_id", "p", "i", first.alias("first"), after.alias("next"))
+
 
-    # candidates (doc, p, L) and their token sequences, inside the row
-    # each position carries its next ``window`` units only, so a document's rows grow in proportion to its units
-    ahead = F.transform("units", lambda _, p: F.slice("units", p + 1, window))
-    cands = base.select("doc_id", F.posexplode(ahead).alias("p", "ahead"))
-    cands = cands.select("doc_id", "p", "ahead", F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("L"))
-    cands = stage(cands.select("doc_id", "p", "L", _words(F.array_join(F.slice("ahead", F.lit(1), F.col("L")), "")).alias("w")))
-    pos = cands.select("doc_id", "p", "L", F.size("w").alias("m"),
-                       F.posexplode(F.zip_with(shift_right("w"), "w", lambda a, b: F.named_struct(F.lit("a"), a, F.lit("b"), b))).alias("k", "e"))
-    pos = pos.select("doc_id", "p", "L", "m", "k", F.col("e.a").alias("a"), F.col("e.b").alias("b"))
-    j = (pos.join(uni.withColumnRenamed("a", "b").withColumnRenamed("ca", "cb"), "b", "left")
-            .join(uni, "a", "left").join(big, ["a", "b"], "left"))
-    logp = F.when(F.col("k") == 0, F.log((F.coalesce("cb", F.lit(0)) + 1) / F.lit(n_tok + vocab))).otherwise(
-        F.log((F.coalesce("cab", F.lit(0)) + 1) / (F.coalesce("ca", F.lit(0)) + F.lit(vocab))))
-    scored = j.groupBy("doc_id", "p", "L").agg(F.exp(-F.avg(logp)).alias("ppl"))
-    allc = cands.select("doc_id", "p", "L").join(scored, ["doc_id", "p", "L"], "left").withColumn(
-        "ppl", F.coalesce("ppl", F.lit(float("inf"))))
-    best = allc.groupBy("doc_id", "p").agg(F.min_by("L", F.struct("ppl", "L")).alias("L"))
+def fluency_regroup(docs: DataFrame, window: int = 4, text_col: str = "text") -> DataFrame:
+    """(doc_id, seq, sentence): the regrouped sentences of each document, in order."""
+    base = stage(docs.select("doc_id", split_subclauses(F.col(text_col)).alias("units")), "units")
+    words = stage(base.select("doc_id", F.flatten(F.transform("units", lambda u, p: F.transform(_words(u), lambda w: F.struct(p.alias("p"), w.alias("w"))))).alias("w")), "w")
+    pairs = F.zip_with("w", shift_right(F.transform("w", lambda x: x["w"])), lambda x, a: F.struct(x["p"].alias("p"), a.alias("a"), x["w"].alias("b")))
+    tokens = words.select("doc_id", F.posexplode(pairs).alias("i", "e")).select("doc_id", "i", "e.p", "e.a", "e.b")
+    scored = bigram_scores(docs, tokens, text_col)
+    sums = scored.groupBy("doc_id", "p").agg(F.count("*").alias("m"), F.sum("next").alias("total"), F.min_by("first", "i").alias("first"), F.min_by("next", "i").alias("instead"))
+    units = base.select("doc_id", F.posexplode("units").alias("p", "unit")).select("doc_id", "p").join(sums, ["doc_id", "p"], "left")
+    ahead = Window.partitionBy("doc_id").orderBy("p")
+    spans, m, total = [], F.lit(0), F.lit(0.0)
+    for length in range(1, window + 1):                             # the next units, one more each time
+        at = lambda c, k: F.lead(c, k).over(ahead)
+        m, total = m + F.coalesce(at("m", length - 1), F.lit(0)), total + F.coalesce(at("total", length - 1), F.lit(0.0))
+        first = F.coalesce(*[at("first", k) for k in range(length)]) - F.coalesce(*[at("instead", k) for k in range(length)])
+        score = F.when(m > 0, F.round(-(first + total) / m, DECIMALS)).otherwise(float("inf"))
+        spans.append(F.when(at("p", length - 1).isNotNull(), F.struct(score.alias("score"), F.lit(length).alias("L"))))
+    best = units.select("doc_id", "p", F.array_min(F.array(*spans)).alias("best")).select("doc_id", "p", F.col("best.L").alias("L"))
     per_doc = best.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("p", "L"))).alias("b"))
     chain = F.aggregate("b", F.named_struct(F.lit("next"), F.lit(0), F.lit("spans"), F.array().cast("array<struct<p:int,L:int>>")),
                         lambda acc, x: F.when(x["p"] == acc["next"], F.named_struct(

@@ -413,7 +413,34 @@ def q_textrank_keywords(spark, sf):
 
 # --- CLS-6 ---------------------------------------------------------------------------------
 
-@register("fluency_regroup")
+_LETTERS = f"lambda t: regexp_matches(t, {O.q(P.LETTER_TOKEN)})"
+_SPANS = " UNION ALL ".join(
+    f"""SELECT doc_id, p, {n} AS L, sum(m) OVER s AS m, sum(total) OVER s AS total, first_value(f IGNORE NULLS) OVER s AS f, first_value(x IGNORE NULLS) OVER s AS x, count(*) OVER s AS have
+    FROM per WINDOW s AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)""" for n in range(1, 5))
+
+
+@register("fluency_regroup", f"""
+WITH RECURSIVE l AS MATERIALIZED (SELECT doc_id, text, {O.split_subclauses('text')} AS units FROM documents),
+u AS (SELECT doc_id, unnest(units) AS unit, unnest(range(0, len(units))) AS p FROM l),
+ut AS (SELECT doc_id, p, unnest(w) AS b, unnest(range(0, len(w))) AS k FROM (SELECT doc_id, p, list_filter({O.tokens('unit')}, {_LETTERS}) AS w FROM u)),
+tok AS MATERIALIZED (SELECT doc_id, p, k, b, lag(b) OVER (PARTITION BY doc_id ORDER BY p, k) AS a FROM ut),
+xt AS (SELECT doc_id, unnest(w) AS b, unnest(range(0, len(w))) AS k FROM (SELECT doc_id, list_filter({O.tokens('text')}, {_LETTERS}) AS w FROM l)),
+xp AS MATERIALIZED (SELECT b, lag(b) OVER (PARTITION BY doc_id ORDER BY k) AS a FROM xt),
+uni AS MATERIALIZED (SELECT b, count(*) AS c FROM xp GROUP BY b),
+big AS MATERIALIZED (SELECT a, b, count(*) AS c FROM xp WHERE a IS NOT NULL GROUP BY a, b),
+n AS (SELECT sum(c)::DOUBLE AS n, count(*)::DOUBLE AS v FROM uni),
+sc AS (SELECT doc_id, p, k, ln((coalesce(ub.c, 0) + 1) / (n + v)) AS f,
+              CASE WHEN tok.a IS NULL THEN 0 ELSE ln((coalesce(big.c, 0) + 1) / (coalesce(ua.c, 0) + v)) END AS x
+       FROM tok LEFT JOIN uni ub ON ub.b = tok.b LEFT JOIN uni ua ON ua.b = tok.a LEFT JOIN big ON big.a = tok.a AND big.b = tok.b, n),
+g AS (SELECT doc_id, p, count(*) AS m, sum(x) AS total, arg_min(f, k) AS f, arg_min(x, k) AS x FROM sc GROUP BY doc_id, p),
+per AS MATERIALIZED (SELECT doc_id, p, coalesce(m, 0) AS m, coalesce(total, 0) AS total, f, x FROM u LEFT JOIN g USING (doc_id, p)),
+spans AS ({_SPANS}),
+best AS MATERIALIZED (
+  SELECT doc_id, p, arg_min(L, (CASE WHEN m > 0 THEN round(-(f - x + total) / m, 9) ELSE 'inf'::DOUBLE END, L)) AS L FROM spans WHERE have = L GROUP BY doc_id, p),
+chain AS (
+  SELECT doc_id, 0::BIGINT AS p, 0 AS seq, L FROM best WHERE p = 0
+  UNION ALL SELECT c.doc_id, c.p + c.L, c.seq + 1, b.L FROM chain c JOIN best b ON b.doc_id = c.doc_id AND b.p = c.p + c.L)
+SELECT doc_id, CAST(seq AS INTEGER) AS seq, array_to_string(units[p + 1:p + L], '') AS sentence FROM chain JOIN l USING (doc_id)""")
 def q_fluency_regroup(spark, sf):
     from ..operators.fluency import fluency_regroup
     return fluency_regroup(docs(spark, sf), window=4)

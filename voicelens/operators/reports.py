@@ -88,10 +88,11 @@ def overview_crosstab(units: DataFrame) -> DataFrame:
 
     Only observed emo and irr_f values of a unit form its grid; missing cells are 0.
     """
-    base = units.select(*REPORT_KEYS, "irr_f", "emo", "id").distinct()
+    base = units.select(*REPORT_KEYS, "irr_f", "emo", "id").distinct()  # one shuffle of the units; the cells are few
     with_all = lambda c: F.explode(F.array(F.col(c).cast("string"), F.lit("All")))
     cells = (base.select(*REPORT_KEYS, with_all("emo").alias("emo"), "irr_f").select(*REPORT_KEYS, "emo", with_all("irr_f").alias("irr_f"))
              .groupBy(*REPORT_KEYS, "emo", "irr_f").agg(F.count(F.lit(1)).alias("n")))
+    cells = written(cells, "overview-cells")                        # read three times below
     # every observed value has a margin cell, so the margins are the axes of the grid
     emos = cells.where("irr_f = 'All'").select(*REPORT_KEYS, "emo")
     irrs = cells.where("emo = 'All'").select(*REPORT_KEYS, "irr_f")
@@ -101,9 +102,9 @@ def overview_crosstab(units: DataFrame) -> DataFrame:
 
 def distinct_periods(tagged: DataFrame) -> DataFrame:
     """AGG-7 + WIN-6: distinct month and week keys, ascending."""
-    m = tagged.select(F.lit("m").alias("period_kind"), F.col("period_m").alias("period"))
-    w = tagged.select(F.lit("w").alias("period_kind"), F.col("period_w").alias("period"))
-    return m.unionByName(w).distinct().orderBy("period_kind", "period")
+    both = F.array(*[F.struct(F.lit(kind).alias("period_kind"), F.col(f"period_{kind}").alias("period")) for kind in "mw"])
+    pairs = tagged.select("period_m", "period_w").distinct().select(F.explode(both).alias("p"))  # the table is read once
+    return pairs.select("p.period_kind", "p.period").distinct().orderBy("period_kind", "period")
 
 
 def report_table(units: DataFrame, stopkeys=FX.STOPKEYS, script: str = FX.KEYWORD_SCRIPT, scope: str | None = None) -> DataFrame:

@@ -53,3 +53,19 @@ def test_governors_of_repeated_clauses(spark, tmp_path):
     got = sorted((r.clause_id or 0, r.i, r.word, r.head_word or "") for r in q_governor_join(spark, str(tmp_path)).collect())
     assert got == [(0, 0, "xx", ""), (0, 1, "yy", ""), (10000000, 0, "aa", "bb"), (10000000, 0, "dd", "aa"), (10000000, 0, "dd", "dd"),
                    (10000000, 1, "bb", "aa"), (10000000, 1, "bb", "dd"), (10000000, 2, "cc", "bb")]
+
+
+def test_terms_are_counted_where_their_text_is(spark):
+    from voicelens.operators.vectors import tfidf_matrix
+    docs = spark.createDataFrame([(i, "aa bb cc aa bb") for i in range(5)] + [(9, "x")], "doc_id long, text string")
+    got = tfidf_matrix(docs, ngram_max=3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(doc_id" in line and "term" in line.split("ENSURE")[0]]
+    assert {r.term for r in got.where("doc_id = 0").collect()} == {"aa", "bb", "cc", "aa bb", "bb cc", "cc aa", "aa bb cc", "bb cc aa", "cc aa bb"}
+
+
+def test_a_refined_word_is_looked_up_once(spark):
+    from voicelens.operators import opinions as OP
+    df = OP.prepare(spark.createDataFrame([(1, [(0, "a", "v", "HED", 0)])], "clause_id long, tokens array<struct<i:int,word:string,pos:string,rel:string,head:int>>"))
+    plan = plan_of(df.select(F.transform("_tok", lambda x: OP.refine_opinion(x["word"], ["not"], "[a-z]")).alias("o"))).splitlines()[0]
+    assert plan.count("array_position(") == 1

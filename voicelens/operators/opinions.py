@@ -40,7 +40,7 @@ def negated_opinions(tokens, negations, script: str) -> Column:
 
 from pyspark.sql import DataFrame  # noqa: E402
 
-from ..functions.stage import stage  # noqa: E402
+from ..functions.stage import bind, stage  # noqa: E402
 from ..functions import lexicon as LX  # noqa: E402
 
 
@@ -92,13 +92,17 @@ def aspect_opinion(i, ec) -> Column:
         return F.named_struct(F.lit("key"), key, F.lit("neg_i"), -c["i"], F.lit("kw"), kw)
 
     cands = F.transform(F.filter(F.col("_tok"), lambda y: (y["head"] == i) & y["pos"].isin(*LX.CHILD_POS_ASPECT)), cand)
-    best = F.element_at(F.array_sort(cands), 1)["kw"]
-    ob = (F.when(F.size(cands) > 0,
-                 F.when(best != ec, F.array(best))
-                  .when((lg == "HED") & (F.col("_vob") >= 0), F.array(_at("_w", F.col("_vob"))))
-                  .otherwise(none))
-           .when(lg.endswith("OB") & (F.col("_hed") >= 0), _hed_rule())
-           .otherwise(none))
+
+    def of_best(least):
+        best = F.element_at(least, 1)["kw"]
+        return (F.when(F.size(least) > 0,
+                       F.when(best != ec, F.array(best))
+                        .when((lg == "HED") & (F.col("_vob") >= 0), F.array(_at("_w", F.col("_vob"))))
+                        .otherwise(none))
+                 .when(lg.endswith("OB") & (F.col("_hed") >= 0), _hed_rule())
+                 .otherwise(none))
+
+    ob = bind(F.array_sort(cands), of_best)
 
     # SBV: the governor, with a preceding adverb, or by the governor's relation
     p = _at("_h", i)
@@ -137,8 +141,16 @@ def aspect_opinion(i, ec) -> Column:
 
 
 def refine_opinion(st, negations, script: str, special=LX.SPECIAL_OPINIONS) -> Column:
-    """OPN-3: refine a candidate word ``st`` of the clause."""
-    idx = (F.array_position("_w", st) - 1).cast("int")
+    """OPN-3: refine a candidate word ``st`` of the clause; its first place is looked for once."""
+    return bind((F.array_position("_w", st) - 1).cast("int"), lambda idx: _refined_at(idx, st, negations, script, special))
+
+
+def _kept(out, st) -> Column:
+    """The opinion words sorted and distinct; without any, the word itself."""
+    return bind(F.filter(out, lambda x: x.isNotNull() & (x != " ")), lambda o: F.array_sort(F.array_distinct(F.when(F.size(o) > 0, o).otherwise(F.array(st)))))
+
+
+def _refined_at(idx, st, negations, script: str, special) -> Column:
     pos = _at("_p", idx)
     nb = F.array(*[F.lit(x) for x in LX.NEIGHBOUR_POS])
     nxt = _at("_w", idx + 1)
@@ -164,15 +176,18 @@ def refine_opinion(st, negations, script: str, special=LX.SPECIAL_OPINIONS) -> C
             .when((pos == "v") & ~F.array_contains(spec, st), verb)
             .when(pos == "c", conn)
             .otherwise(F.array().cast("array<string>")))
-    out = F.filter(out, lambda x: x.isNotNull() & (x != " "))
-    return F.array_sort(F.array_distinct(F.when(F.size(out) > 0, out).otherwise(F.array(st))))
+    return _kept(out, st)
 
 
 def refine_predicate(negations, script: str, special=LX.SPECIAL_OPINIONS) -> Column:
     """OPN-4: opinion words around the root predicate (HED)."""
     h = F.col("_hed")
     st = _at("_w", h)
-    idx = (F.array_position("_w", st) - 1).cast("int")
+    found = bind((F.array_position("_w", st) - 1).cast("int"), lambda idx: _predicate_at(idx, h, st, negations, script, special))
+    return F.when(h < 0, F.array().cast("array<string>")).otherwise(found)
+
+
+def _predicate_at(idx, h, st, negations, script: str, special) -> Column:
     pos = _at("_p", idx)
     nxt = _at("_w", idx + 1)
     spec = _array_lit(special)
@@ -189,9 +204,7 @@ def refine_predicate(negations, script: str, special=LX.SPECIAL_OPINIONS) -> Col
             .when((pos == "v") | ((pos == "n") & ~F.array_contains(spec, st)), kids)
             .when(pos == "c", conn)
             .otherwise(F.array().cast("array<string>")))
-    out = F.filter(out, lambda x: x.isNotNull() & (x != " "))
-    return F.when(h < 0, F.array().cast("array<string>")).otherwise(
-        F.array_sort(F.array_distinct(F.when(F.size(out) > 0, out).otherwise(F.array(st)))))
+    return _kept(out, st)
 
 
 def clause_opinions(df: DataFrame, keyword_map: Column, negations, script: str,

@@ -49,7 +49,7 @@ def new_reviews(spark: SparkSession, cleaned: DataFrame, tables: str) -> tuple[D
 
 def merge_batch(spark: SparkSession, raw: DataFrame, batch_id: int, tables: str, cfg: TagConfig, after: Callable[[str], None] | None = None) -> None:
     """One micro-batch; ``after`` is told of each table that is merged (tests stop there)."""
-    cleaned = written(clean_stream(raw), "batch-reviews")
+    cleaned = written(clean_stream(raw.repartition("id")), "batch-reviews")  # a file may be one task's; the tagging is not
     fresh, firsts = new_reviews(spark, cleaned, tables)
     firsts = written(firsts, "batch-keys")
     tagged = written(tag_reviews(fresh.drop("text_key"), cfg, keep_comment=False), "batch-tagged")

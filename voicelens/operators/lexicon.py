@@ -64,12 +64,16 @@ def segment(df: DataFrame, words: DataFrame, text_col: str, out_col: str = "toke
 
     known = written(runs.join(hits, "run_id").select("run", tokens_of("run", "hits").alias("tokens")), "lexicon-tokens")
     tables = held.join(known, "run").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("run", "tokens"))).alias("_table"))  # the stretches of one text
-    joined = packed.withColumn("_key", F.when(F.col("_text").rlike(P.HAN_CLASS), F.sha2("_text", 256))).join(tables, "_key", "left")
-    plain = lambda x: F.regexp_extract_all(x, F.lit(P.TOKEN_PATTERN), 0)
-    mixed = F.flatten(F.transform(pieces, lambda p: F.coalesce(F.try_element_at("_table", p), plain(p))))
-    tokens = F.when(F.col("_table").isNull(), plain(F.lower(F.col("_text")))).otherwise(mixed)
     columns = [c for c in df.columns if c != out_col]
-    return joined.select(*[F.col(f"_row.`{c}`").alias(c) for c in columns], tokens.alias(out_col))
+    plain = lambda x: F.regexp_extract_all(x, F.lit(P.listed(P.TOKEN_PATTERN)), 0)
+    result = lambda rows, tokens: rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in columns], tokens.alias(out_col))
+    if held.isEmpty():                                              # no text takes part
+        return result(packed, plain(F.lower(F.col("_text"))))
+    # rows without a Han character pass by the join: a key they all shared would send them to one task
+    others = result(packed.where(~F.coalesce(F.col("_text").rlike(P.HAN_CLASS), F.lit(False))), plain(F.lower(F.col("_text"))))
+    joined = packed.where(F.col("_text").rlike(P.HAN_CLASS)).withColumn("_key", F.sha2("_text", 256)).join(tables, "_key", "left")
+    mixed = F.flatten(F.transform(pieces, lambda p: F.coalesce(F.try_element_at("_table", p), plain(p))))
+    return others.unionByName(result(joined, F.when(F.col("_table").isNull(), plain(F.lower(F.col("_text")))).otherwise(mixed)))
 
 
 def first_codes(taxonomy: DataFrame, irregular_code: str = LX.IRREGULAR_CODE) -> DataFrame:
@@ -85,8 +89,12 @@ def joined_codes(tokens: DataFrame, taxonomy: DataFrame, keys: list[str], tokens
     ``keys`` are the rows' key: rows that repeat it are one.
     """
     regular = F.col(regular) if isinstance(regular, str) else regular
-    rows = tokens.select(*keys, F.when(regular == 1, 1).otherwise(0).alias("regular"), F.array_distinct(tokens_col).alias("_tokens"))
-    hits = rows.select(*keys, "regular", F.explode_outer("_tokens").alias("keyword")).join(first_codes(taxonomy), ["keyword", "regular"], "left")
+    # a mark of the row's own ahead of its tokens keeps its key (no token of several characters begins so); tokens without a code go before the grouping
+    mark = F.concat(F.lit("\u0000"), F.xxhash64(*keys).cast("string"))
+    words = F.concat(F.array(mark), F.coalesce(F.array_distinct(tokens_col), F.array().cast("array<string>")))
+    rows = stage(tokens.select(*keys, F.when(regular == 1, 1).otherwise(0).alias("regular"), words.alias("_tokens")), "_tokens")
+    hits = rows.select(*keys, "regular", F.explode("_tokens").alias("keyword")).join(first_codes(taxonomy), ["keyword", "regular"], "left")
+    hits = hits.where(F.col("code").isNotNull() | (F.startswith("keyword", F.lit("\u0000")) & (F.length("keyword") > 1)))
     return hits.groupBy(*keys).agg(F.array_sort(F.collect_set("code")).alias("codes"))
 
 

@@ -4,10 +4,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-
 from voicelens.functions import patterns as P
 from voicelens.functions.clauses import emit_chunks, split_subclauses
 from voicelens.functions.text import collapse_repeats
+from voicelens.llm import jaccard_join as JJ
 from voicelens.operators import lexicon as LE
 from voicelens.operators import script as SC
 from voicelens.operators import summary as SM
@@ -85,3 +85,10 @@ def test_units_with_and_without_repeats(spark):
     old = lambda c, d: F.filter(F.regexp_extract_all(F.col(c), F.lit(P.chunk_pattern(d)), 0), lambda x: (~x.rlike(P.delim_class(d) + "$")) | ((F.length(x) > 1) & x.rlike(P.LETTER_CLASS)))
     for d in (P.SUBCLAUSE_DELIMS, P.CLAUSE_DELIMS_ENDERS, P.CLAUSE_DELIMS_COMMAS, P.CLAUSE_DELIMS_BLANK):
         assert df.select(old("text", d).alias("x")).collect() == df.select(emit_chunks("text", d).alias("x")).collect()
+
+
+def test_a_pair_across_components_is_made_in_one_block(spark):
+    placed = [(b, s, s, 1) for b, sets in [*((k, (1, 2, 3)) for k in range(1, 13)), (50, (3, 4))] for s in sets] + [(100 + k, 5, 5, 1) for k in range(20)] + [(900, 5, 5, 1), (900, 6, 6, 1)]
+    placed = spark.createDataFrame(placed, "block long, set_id long, part long, size long")
+    sets = spark.createDataFrame([(s, 100, [0] * JJ.SKETCH_WORDS) for s in range(1, 7)], "set_id long, n long, sketch array<long>")
+    assert sorted(map(tuple, JJ.across_pairs(placed, sets, 80).collect())) == [(1, 2), (1, 3), (2, 3), (3, 4), (5, 6)]

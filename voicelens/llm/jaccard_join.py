@@ -19,7 +19,7 @@ blocks than that, some blocks are equal (pigeonhole).
   against a few pivots from the largest other components of its blocks, drawn by
   seeded orders, and links are contracted to components; the rounds go on while
   they link.  Then all remaining pairs that share a block across components are
-  candidates.  So a large group of near copies costs no quadratic number of pairs,
+  candidates, as a rule each in one of its blocks only.  So a large group of near copies costs no quadratic number of pairs,
   and no link between components is lost.
 * A candidate pair passes the size bound and the Hamming distance of dense
   sketches (both inside the join), then the exact intersection of the sets.
@@ -46,6 +46,8 @@ SHINGLES_SCHEMA = "set_id long, n long, sketch array<long>, shingles binary"
 SKETCH_WORDS = 16
 #: Pivots that a set is held against in a star round; rounds go on while one of so many sets finds a link.
 PIVOTS, STAR_YIELD = 4, 50
+#: Blocks of a set by which a pair is made in one shared block instead of all.
+FIRST_BLOCKS = 16
 #: Candidate rows up to which their ids are broadcast (8 bytes each).
 BROADCAST_ROWS = 1_000_000
 BAND = 1.5625
@@ -294,6 +296,22 @@ def star_pairs(placed: DataFrame, turn: int) -> DataFrame:
     return chosen.select(F.explode(F.array_distinct(F.array(*[F.col(f"pivot{k}.x") for k in range(PIVOTS)]))).alias("x"), "y").select("x", "y")
 
 
+def across_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(x, y): sets of different components that share a block and may link.
+
+    A set carries its ``FIRST_BLOCKS`` smallest blocks.  A pair that has several of
+    them in common is made in the smallest one only, a pair that has none in every
+    block it shares; so each pair is made at least once.
+    """
+    nth = F.row_number().over(Window.partitionBy("set_id").orderBy("block"))
+    first = placed.select("set_id", "block", nth.alias("nth")).where(F.col("nth") <= FIRST_BLOCKS).groupBy("set_id").agg(F.collect_list("block").alias("first"))
+    rows = placed.join(first, "set_id").join(sets.select("set_id", "n", "sketch"), "set_id")
+    a, b = rows.alias("a"), rows.alias("b")
+    here = F.coalesce(F.array_min(F.array_intersect("a.first", "b.first")) >= F.col("a.block"), F.lit(True))
+    pairs = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.part") < F.col("b.part")) & may_link("a", "b", percent) & here)
+    return pairs.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y"))
+
+
 def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified links (x, y) between set ids; their components are those of all linked pairs."""
     by_block = Window.partitionBy("block")
@@ -315,10 +333,7 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Data
         placed = written(mixed.where("low != high").select("block", "set_id", "part", "size"), "mixed-blocks")
         if linked * STAR_YIELD < left or not linked:
             break
-    rows = placed.join(sets.select("set_id", "n", "sketch"), "set_id")
-    a, b = rows.alias("a"), rows.alias("b")
-    across = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.part") < F.col("b.part")) & may_link("a", "b", percent))
-    across = across.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct()
+    across = across_pairs(placed, sets, percent).distinct()
     return found.unionByName(written(verify(across, sets, percent), "cross-links"))
 
 

@@ -27,7 +27,7 @@ def window_pairs(tokens, window: int):
 
 def cooccurrence(tagged: DataFrame, stopwords, window: int = 3, min_count: int = 1) -> DataFrame:
     skip = not_in(stopwords)
-    words = F.filter(tokenize(F.col("view")), lambda w: w.rlike(P.LETTER_TOKEN) & skip(w))
+    words = F.filter(tokenize(F.col("view")), lambda w: w.rlike(P.jvm(P.LETTER_TOKEN)) & skip(w))
     from ..functions.stage import stage
     staged = stage(tagged.select("codes", words.alias("words")))
     rows = staged.select(F.explode("codes").alias("code"), window_pairs(F.col("words"), window).alias("pairs"))

@@ -46,7 +46,7 @@ SUMS = "block int, share int, n_words binary, n_pairs binary, n long, v long"
 
 
 def _words(c):
-    return F.filter(tokenize(c), lambda t: t.rlike(P.LETTER_TOKEN))
+    return F.filter(tokenize(c), lambda t: t.rlike(P.jvm(P.LETTER_TOKEN)))
 
 
 def _unit_words(units):

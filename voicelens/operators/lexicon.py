@@ -28,7 +28,7 @@ STRETCH = f"[{P.HAN}{P.LATIN}0-9]+"
 def lexicon_words(words: DataFrame, column: str = "word") -> DataFrame:
     """(from_word): the distinct lower-cased words that need a lookup, those of two and more characters with a Han one."""
     word = F.lower(F.col(column))
-    return words.select(word.alias("from_word")).where(F.col("from_word").rlike(P.HAN_CLASS) & (F.length("from_word") > 1)).distinct()
+    return words.select(word.alias("from_word")).where(F.col("from_word").rlike(P.jvm(P.HAN_CLASS)) & (F.length("from_word") > 1)).distinct()
 
 
 def leftmost_longest(run: str, hits: list[tuple[int, int]]) -> list[str]:
@@ -53,8 +53,8 @@ def segment(df: DataFrame, words: DataFrame, text_col: str, out_col: str = "toke
     lexicon = written(lexicon_words(words, word_col).withColumn("to_word", F.lit("")), "lexicon")
     pieces = F.regexp_extract_all(F.lower(F.col("_text")), F.lit(f"{STRETCH}|[^{STRETCH[1:-2]}]+"), 0)
     packed = df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), df[text_col].cast("string").alias("_text"))
-    cut = stage(packed.where(F.col("_text").rlike(P.HAN_CLASS)).select(F.sha2("_text", 256).alias("_key"), pieces.alias("_pieces")), "_pieces")
-    held = written(cut.select("_key", F.explode(F.array_distinct(F.filter("_pieces", lambda p: p.rlike(P.HAN_CLASS) & (F.length(p) > 1)))).alias("run")).distinct(), "lexicon-runs")
+    cut = stage(packed.where(F.col("_text").rlike(P.jvm(P.HAN_CLASS))).select(F.sha2("_text", 256).alias("_key"), pieces.alias("_pieces")), "_pieces")
+    held = written(cut.select("_key", F.explode(F.array_distinct(F.filter("_pieces", lambda p: p.rlike(P.jvm(P.HAN_CLASS)) & (F.length(p) > 1)))).alias("run")).distinct(), "lexicon-runs")
     runs = held.select("run").distinct().select(F.sha2("run", 256).alias("run_id"), "run")
     hits = phrase_hits(runs, lexicon).groupBy("run_id").agg(F.collect_list(F.struct("at", "n")).alias("hits"))  # the hits of one stretch
 
@@ -65,13 +65,13 @@ def segment(df: DataFrame, words: DataFrame, text_col: str, out_col: str = "toke
     known = written(runs.join(hits, "run_id").select("run", tokens_of("run", "hits").alias("tokens")), "lexicon-tokens")
     tables = held.join(known, "run").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("run", "tokens"))).alias("_table"))  # the stretches of one text
     columns = [c for c in df.columns if c != out_col]
-    plain = lambda x: F.regexp_extract_all(x, F.lit(P.listed(P.TOKEN_PATTERN)), 0)
+    plain = lambda x: F.regexp_extract_all(x, F.lit(P.jvm(P.TOKEN_PATTERN)), 0)
     result = lambda rows, tokens: rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in columns], tokens.alias(out_col))
     if held.isEmpty():                                              # no text takes part
         return result(packed, plain(F.lower(F.col("_text"))))
     # rows without a Han character pass by the join: a key they all shared would send them to one task
-    others = result(packed.where(~F.coalesce(F.col("_text").rlike(P.HAN_CLASS), F.lit(False))), plain(F.lower(F.col("_text"))))
-    joined = packed.where(F.col("_text").rlike(P.HAN_CLASS)).withColumn("_key", F.sha2("_text", 256)).join(tables, "_key", "left")
+    others = result(packed.where(~F.coalesce(F.col("_text").rlike(P.jvm(P.HAN_CLASS)), F.lit(False))), plain(F.lower(F.col("_text"))))
+    joined = packed.where(F.col("_text").rlike(P.jvm(P.HAN_CLASS))).withColumn("_key", F.sha2("_text", 256)).join(tables, "_key", "left")
     mixed = F.flatten(F.transform(pieces, lambda p: F.coalesce(F.try_element_at("_table", p), plain(p))))
     return others.unionByName(result(joined, F.when(F.col("_table").isNull(), plain(F.lower(F.col("_text")))).otherwise(mixed)))
 

@@ -78,7 +78,7 @@ def textrank_keywords(docs: DataFrame, stopwords, span: int = 5, damping: float
                       k: int = 10, text_col: str = "text") -> DataFrame:
     """(doc_id, term, rank, score): the ``k`` words of the highest rank, ties by the word."""
     skip = not_in(stopwords)
-    words = F.filter(tokenize(F.col(text_col)), lambda t: t.rlike(P.LETTER_TOKEN) & skip(t))
+    words = F.filter(tokenize(F.col(text_col)), lambda t: t.rlike(P.jvm(P.LETTER_TOKEN)) & skip(t))
     dealt = docs.where(F.col("doc_id").isNotNull()).select("doc_id", text_col).repartition("doc_id").sortWithinPartitions("doc_id")
     base = stage(dealt.select("doc_id", words.alias("w")), "w")
     schema = StructType([docs.schema["doc_id"], StructField("term", StringType()), StructField("rank", IntegerType()), StructField("r", DoubleType())])
